@@ -22,8 +22,11 @@ def micros_to_ntz(micros: Column) -> Column:
 
 
 def ntz_to_micros(ts: Column) -> Column:
-    """TIMESTAMP_NTZ to epoch microseconds, whatever the session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
+    """TIMESTAMP_NTZ to epoch microseconds, whatever the session time zone. ``unix_micros`` and
+    ``timestamp_diff`` would go through the zone."""
+    since_epoch = ts - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    seconds = since_epoch.cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1000000).cast("bigint")
 
 
 def ntz_text(ts: Column) -> Column:

@@ -103,6 +103,18 @@ def daily_totals(
     )
 
 
+def spread_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` partitioned by ``keys`` into the session's number of shuffle partitions.
+
+    For rows that the next step multiplies. AQE sizes partitions by what enters them: it would
+    merge the few megabytes of sparse facts into one task, which then grows them a hundredfold.
+    A partitioning with a stated number is left alone, and windows by ``keys`` reuse it.
+    """
+    if not keys:
+        return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def dense_series(
     daily: DataFrame,
     measures: Sequence[str],
@@ -118,7 +130,7 @@ def dense_series(
     """
     by_day = Window.partitionBy(*keys).orderBy("date")
     in_span = daily.where(F.col("date").between(F.lit(first), F.lit(last)))
-    placed = daily_totals(in_span, measures, keys).select(
+    placed = spread_by(daily_totals(in_span, measures, keys), keys).select(
         *keys, "date", *measures,
         F.lag("date").over(by_day).alias("_before"),
         F.lead("date").over(by_day).alias("_after"),

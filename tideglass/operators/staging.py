@@ -47,7 +47,15 @@ def newest_first(df: DataFrame) -> list[Column]:
     return [F.desc_nulls_last("event_ts"), *[F.asc_nulls_last(c) for c in rest]]
 
 
-def stage_events(flat: DataFrame) -> DataFrame:
-    """The staging layer: one row per row key."""
-    keyed = with_row_key(standardise(flat))
+def stage_events(flat: DataFrame, event_names: Sequence[str] | None = None) -> DataFrame:
+    """The staging layer: one row per row key.
+
+    ``event_names`` (lower case) restricts it to some kinds of event. The name is part of the row
+    key, so copies share it and the restriction may come first: only those events are sorted and
+    shuffled, and the filter moves on below the flattening.
+    """
+    typed = standardise(flat)
+    if event_names is not None:
+        typed = typed.where(F.col("event_name").isin(*event_names))
+    keyed = with_row_key(typed)
     return dedup(keyed, ["row_key"], newest_first(keyed)).select(*STAGED_EVENT.fieldNames())

@@ -18,7 +18,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tideglass.functions.scalars import daily_money
-from tideglass.operators.marts import daily_totals
+from tideglass.operators.marts import daily_totals, spread_by
 from tideglass.operators.periods import PERIODS, Window, bounds
 
 LABELS = (
@@ -90,7 +90,7 @@ def sums_for_anchors(
             *[F.lit(0).cast(exact.schema[m].dataType).alias(m) for m in names],
         )
         exact = exact.unionByName(zero)
-    daily = daily_totals(exact, names, keys)
+    daily = spread_by(daily_totals(exact, names, keys), keys)
 
     # The Total window starts at min_date; its previous window reaches as far back as the anchor
     # lies ahead. A fact d days before min_date therefore enters it d - 1 days after min_date:

@@ -20,7 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _percent(c: str) -> Column:
     """0.07 -> 7."""
-    return F.round(F.col(c) * 100).cast("int")
+    return (F.col(c) * 100 + 0.5).cast("int")
+
+
+def _compact(day: Column) -> Column:
+    """DATE to 'yyyyMMdd'."""
+    return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
 
 
 def _text(*parts: Column | str) -> Column:
@@ -42,13 +47,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("value"),
         ).cast(param)
 
-    def item(i: Column) -> Column:
+    def item(i: int) -> Column:
         return F.struct(
-            _text(F.col("l_partkey"), "-", i).alias("item_id"),
-            _text("item ", i).alias("item_name"),
+            _text(F.col("l_partkey"), f"-{i}").alias("item_id"),
+            F.lit(f"item {i}").alias("item_name"),
             F.col("l_returnflag").alias("item_category"),
-            F.when(i < 7, F.col("l_extendedprice")).alias("price"),
-            i.cast("bigint").alias("quantity"),
+            (F.col("l_extendedprice") if i < 7 else F.lit(None).cast("double")).alias("price"),
+            F.lit(i).cast("bigint").alias("quantity"),
         )
 
     params = F.array(
@@ -57,7 +62,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     referrer = F.array(entry("page_referrer", text=_text("/supplier/", F.col("l_suppkey"))))
     columns = {
-        "event_date": F.date_format("l_shipdate", "yyyyMMdd"),
+        "event_date": _compact(F.to_date("l_shipdate")),
         "event_timestamp": ntz_to_micros(F.col("l_shipdate"))
         + F.col("l_orderkey") * 8 + F.col("l_linenumber"),
         "event_name": F.when(F.col("l_returnflag") == "N", "Purchase")
@@ -76,7 +81,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "event_params": F.when(discount >= 5, F.concat(params, referrer)).otherwise(params),
         "items": F.when(F.col("l_quantity") == 2, F.array().cast(RAW_EVENT["items"].dataType))
-        .when(F.col("l_quantity") > 2, F.transform(F.sequence(F.lit(1), "l_linenumber"), item)),
+        .when(F.col("l_quantity") > 2,
+              F.slice(F.array(*[item(i) for i in range(1, 8)]), 1, F.col("l_linenumber"))),
     }
     return table(spark, sf_dir, "lineitem").select(*[
         columns[f.name].cast(f.dataType).alias(f.name) for f in RAW_EVENT.fields
@@ -118,7 +124,7 @@ def nested(flat: DataFrame) -> DataFrame:
     """Flat events put back into the raw nested layout, one item per event."""
     item = RAW_EVENT["items"].dataType.elementType
     return flat.select(
-        F.date_format("event_dt", "yyyyMMdd").alias("event_date"),
+        _compact(F.col("event_dt")).alias("event_date"),
         ntz_to_micros(F.col("event_timestamp")).alias("event_timestamp"),
         "event_name", "user_pseudo_id",
         F.struct("country", "region").alias("geo"),

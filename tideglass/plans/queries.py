@@ -231,7 +231,7 @@ def fct_attribution_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def attribution_from_events(spark: SparkSession, sf: str) -> DataFrame:
     flat = events.flatten_events(tables.raw_events(spark, sf))
-    lines = purchase_lines(staging.stage_events(flat))
+    lines = purchase_lines(staging.stage_events(flat, ["purchase"]))
     return _as_double(attribution_daily(lines), "revenue")
 
 
@@ -262,7 +262,7 @@ def star_channel(spark: SparkSession, sf: str) -> DataFrame:
 def revenue_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     flat = events.flatten_events(tables.raw_events(spark, sf))
     delivered = flat.unionByName(flat)
-    mart = purchases_daily(purchase_lines(staging.stage_events(delivered)))
+    mart = purchases_daily(purchase_lines(staging.stage_events(delivered, ["purchase"])))
     return reconcile(mart, strict_revenue(staging.standardise(delivered)), 0.0001)
 
 

@@ -30,10 +30,12 @@ def days_between(raw: DataFrame, start: str | None, end: str | None) -> DataFram
 def param(key: str, kind: str) -> Column:
     """Value of one event parameter, NULL when absent; the first one counts if a key repeats.
 
-    ``get`` is used rather than ``element_at``, which raises on an empty array under ANSI mode.
+    The position among the keys picks the value at that position: plain array expressions, which
+    stay in generated code and read only the nested fields they name. A higher-order filter would
+    do the same interpreted. ``get`` gives NULL for position 0 - 1, where ``element_at`` raises.
     """
-    matches = F.filter("event_params", lambda p: p["key"] == key)
-    return F.get(matches, 0)["value"][kind]
+    position = F.array_position("event_params.key", F.lit(key)).cast("int")
+    return F.get(F.col(f"event_params.value.{kind}"), position - 1)
 
 
 def event_columns() -> list[Column]:
