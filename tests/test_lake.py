@@ -73,6 +73,9 @@ def test_corrupt_file(spark, tmp_path):
     assert per_day(load_events(spark, path)) == {1: 3, 2: 3}
     with pytest.raises(Exception):
         load_events(spark, path, on_error="abort").collect()
+    # a file outside the pattern is not even opened
+    good = load_events(spark, path, pattern=r".*date=2020-12-01/.*", on_error="abort")
+    assert per_day(good) == {1: 3}
     with pytest.raises(ValueError):
         load_events(spark, path, on_error="ignore")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tideglass.functions.keys import channel_key
 from tideglass.functions.scalars import daily_money, money, ratio
@@ -98,9 +98,12 @@ def daily_totals(
 ) -> DataFrame:
     """One row per key and date. Facts built here already are; then this adds no shuffle, and for
     facts from elsewhere it bounds what the windows by key can meet: one row per calendar day."""
-    return facts.groupBy("date", *keys).agg(
-        *[F.sum(m).cast(facts.schema[m].dataType).alias(m) for m in measures]
-    )
+    def total(m: str) -> Column:
+        # A sum of decimals is ten digits wider than its input; keep the width, let counts widen.
+        kind = facts.schema[m].dataType
+        return F.sum(m).cast(kind) if isinstance(kind, T.DecimalType) else F.sum(m)
+
+    return facts.groupBy("date", *keys).agg(*[total(m).alias(m) for m in measures])
 
 
 def spread_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -130,14 +133,15 @@ def dense_series(
     """
     by_day = Window.partitionBy(*keys).orderBy("date")
     in_span = daily.where(F.col("date").between(F.lit(first), F.lit(last)))
-    placed = spread_by(daily_totals(in_span, measures, keys), keys).select(
+    totals = daily_totals(in_span, measures, keys)
+    placed = spread_by(totals, keys).select(
         *keys, "date", *measures,
         F.lag("date").over(by_day).alias("_before"),
         F.lead("date").over(by_day).alias("_after"),
     )
     fill_from = F.when(F.col("_before").isNull(), F.lit(first)).otherwise(F.col("date"))
     fill_to = F.coalesce(F.date_sub("_after", 1), F.lit(last))
-    kinds = daily.schema
+    kinds = totals.schema
     return placed.withColumn("_day", F.explode(F.sequence(fill_from, fill_to))).select(
         *keys,
         F.col("_day").alias("date"),

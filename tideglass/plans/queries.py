@@ -526,26 +526,26 @@ def insights_backfill(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
-def _orders_told(prompts: list[str]) -> list[str]:
-    """A stand-in generator: repeats the order count it finds in the prompt's data."""
-    answers = []
-    for text in prompts:
-        data, _ = json.JSONDecoder().raw_decode(text[text.index('{"kpi"'):])
-        answers.append(json.dumps({
-            "headline": f"{data['kpi']['orders']} orders", "bullets": [data["kpi"]["period"]],
-            "actions": [],
-        }))
-    return answers
-
-
 def generated_insights(spark: SparkSession, sf: str) -> DataFrame:
+    def orders_told(prompts: list[str]) -> list[str]:
+        """A stand-in generator: repeats the order count it finds in the prompt's data. Defined
+        here, so that it travels to the tasks by value."""
+        answers = []
+        for text in prompts:
+            data, _ = json.JSONDecoder().raw_decode(text[text.index('{"kpi"'):])
+            answers.append(json.dumps({
+                "headline": f"{data['kpi']['orders']} orders", "bullets": [data["kpi"]["period"]],
+                "actions": [],
+            }))
+        return answers
+
     first, last = tables.order_span(spark, sf)
     # Without movers the prompt is the KPI record alone.
     inputs = kpi_history(tables.purchases(spark, sf), first, last, first, "calendar").select(
         "insight_date", "insight_type", kpi_struct().alias("kpi"),
         F.array().cast(INSIGHT["top_movers_used"].dataType).alias("top_movers"),
     )
-    rows = build_insights(inputs, BACKFILL, _orders_told, "told")
+    rows = build_insights(inputs, BACKFILL, orders_told, "told")
     return rows.select(
         "insight_date", "insight_type", "headline", F.array_join("bullets", "|").alias("bullets"),
         F.size("actions").alias("n_actions"), "model_name",

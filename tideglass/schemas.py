@@ -1,4 +1,4 @@
-"""All table layouts in one place. Readers pass them to Spark; nothing is inferred."""
+"""All table layouts in one place. The readers of raw, flat and insight files pass them to Spark."""
 
 from pyspark.sql import types as T
 
