@@ -75,7 +75,8 @@ def sums_for_anchors(
 ) -> DataFrame:
     """The columns of ``sums_for_windows`` for the four windows of every date ``first``..``last``.
 
-    Keys appear from their first fact on; without keys every anchor has its four rows.
+    A key has a row for each window that one of its facts falls into, now or in the window
+    before; without keys every anchor has its four rows.
     """
     day, start = F.col("date"), F.lit(min_date)
     names = [*measures, "n"]
@@ -156,22 +157,25 @@ def sums_for_anchors(
         return F.col(f"{m}_all") - one, one - two
 
     def row(period: str) -> Column:
-        cells = []
+        cells, counts = [], None
         for m in names:
             # One type for all four periods: a difference of decimals is a digit wider.
             kind = running.schema[f"{m}_all"].dataType
-            cells += [
-                value.cast(kind).alias(f"{m}_{side}")
-                for side, value in zip(("cur", "prev"), sides(m, period))
-            ]
-        return F.struct(
+            cur, prev = (value.cast(kind) for value in sides(m, period))
+            cells += [cur.alias(f"{m}_cur"), prev.alias(f"{m}_prev")]
+            if m == "n":
+                counts = cur + prev
+        made = F.struct(
             F.lit(period).alias("insight_type"),
             bounds(F.col("day"), period, start, month).alias("w"), *cells,
         )
+        # Most channels rest in most short windows: such rows are not even built.
+        return F.when(counts > 0, made) if keys else made
 
-    return looked.select(
+    rows = looked.select(
         *keys, F.col("day").alias("insight_date"),
         F.explode(F.array(*[row(p) for p in PERIODS])).alias("r"),
-    ).select(
+    ).where(F.col("r").isNotNull())
+    return rows.select(
         *keys, "insight_date", "r.insight_type", "r.w.*", *[f"r.{c}" for c in _both(names)]
     )

@@ -148,7 +148,7 @@ def insights_for_date(spark: SparkSession, sf: str) -> DataFrame:
 def latest_insights_query(spark: SparkSession, sf: str) -> DataFrame:
     def stamped(df: DataFrame, at: datetime) -> DataFrame:
         return insight_store.conform_to_schema(
-            df.withColumn("created_at", F.lit(at).cast("timestamp_ntz"))
+            df.withColumn("created_at", F.lit(at.isoformat()).cast("timestamp_ntz"))
         )
 
     versions = stamped(_loaded_insights(spark, sf), FIRST_RUN).withColumn(

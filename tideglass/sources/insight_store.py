@@ -51,8 +51,8 @@ def merge_rows(
     Types are stored in title case, so that 'total' and 'Total' are one key. Of several rows for
     one key in ``rows`` one is kept, by a fixed order.
     """
-    stamp = F.lit(now).cast("timestamp_ntz") if now is not None \
-        else F.localtimestamp().cast("timestamp_ntz")
+    # Given as text, the moment does not pass through any time zone.
+    stamp = F.localtimestamp() if now is None else F.lit(now.isoformat()).cast("timestamp_ntz")
     rows = (
         conform_to_schema(rows)
         .withColumn("insight_type", F.initcap("insight_type"))
