@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder under the shared folder named by ``spark.checkpoint.dir``.
+    """A new, unused folder that the driver and all executors see.
 
-    Without that setting a local session gets a folder of this machine; a cluster session must
-    name one, because no executor could see the driver's own disk.
+    It lies under the folder that ``spark.checkpoint.dir`` names, or, without that setting, under
+    the session's warehouse folder, which is shared for the same reasons.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tideglass-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tideglass/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh folder and read again: cuts the lineage, and what comes after
+    neither computes ``df`` twice nor depends on the executors that did."""
+    folder = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
