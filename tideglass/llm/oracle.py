@@ -121,7 +121,51 @@ select doc_id, size, source_size, target,
         else 0 end)::bigint as taken
 from placed"""
 
+_TOP = """
+with vectors as (
+  select vec_id, min(list_transform(embedding, lambda x: floor(256 * x::double))) as vec
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  group by vec_id),
+ranked as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.vec, c.vec)::bigint as score,
+         row_number() over (partition by q.vec_id
+                            order by list_inner_product(q.vec, c.vec) desc, c.vec_id) as rank
+  from vectors q join vectors c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5"""
+
+_SCORES = rf"""
+with texts as (select row_number() over () as d, doc_id, {_WORDS} as w from documents),
+words as (select d, unnest(w) as b, generate_subscripts(w, 1) as i from texts),
+pairs as (select d, i, b, lag(b) over (partition by d order by i) as a from words),
+own1 as (select d, b, count(*) as n from pairs group by d, b),
+all1 as (select b, sum(n) as n from own1 group by b),
+own2 as (select d, a, b, count(*) as n from pairs where a is not null group by d, a, b),
+all2 as (select a, b, sum(n) as n from own2 group by a, b),
+sizes as (select d, count(*) as n, sum(count(*)) over () as total from words group by d),
+joined as (
+  select p.d, p.a, a1.n - o1.n as c1, ac.n - oc.n as context, a2.n - o2.n as c2,
+         greatest(s.total - s.n, 1) as rest
+  from pairs p join sizes s using (d)
+  join own1 o1 on o1.d = p.d and o1.b = p.b join all1 a1 on a1.b = p.b
+  left join own1 oc on oc.d = p.d and oc.b = p.a left join all1 ac on ac.b = p.a
+  left join own2 o2 on o2.d = p.d and o2.a = p.a and o2.b = p.b
+  left join all2 a2 on a2.a = p.a and a2.b = p.b),
+shares as (
+  select d, case when c2 > 0 then c2::double / context::double
+                 when a is not null then 0.4::double * (greatest(c1::double, 0.4::double) / rest::double)
+                 else greatest(c1::double, 0.4::double) / rest::double end as share
+  from joined),
+sums as (select d, sum(floor(log10(share) * 1000000 + 0.5)::bigint)::bigint as units
+         from shares group by d)
+select doc_id, len(w)::bigint as n_words, coalesce(units, 0)::bigint as units,
+       coalesce(units, 0) / 1000000::double as log10_score
+from texts left join sums using (d)"""
+
 ORACLE: dict[str, str] = {
+    "op1_maxscore": _TOP,
+    "op2_lm_scores": _SCORES,
     "op3_quality_rules": _quality(),
     "op9_mix_sources": _MIX,
 }
