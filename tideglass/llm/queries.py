@@ -69,7 +69,7 @@ def op7_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(_table(spark, sf_dir, "documents")).withColumn("base", base)
     return found.select(
         "doc_id",
-        *[F.expr(f"long(size(filter(spans, s -> s.kind = '{k}')))").alias(f"n_{k}")
+        *[F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}")
           for k in KINDS[:3]],
         F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
@@ -87,7 +87,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.decode(encoded, ranks).select(
-        "doc_id", F.expr("long(length(ids) / 4)").alias("n_tokens"),
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
