@@ -261,3 +261,18 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
         F.col(text_col).alias("text"),
     ).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id",
+                    text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, by a score of ``min_score`` or more."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
+    position = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in texts.slices(batches, position):
+            lang, score = predict(model.value, part.column(position))
+            ok = (np.array(lang, dtype=object) != UNDETERMINED) & (score >= min_score)
+            yield part.filter(pa.array(ok, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -57,20 +57,11 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (5, 2, 1), shar
     )
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
-                most: float = 2.0, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
-    """One row a document: doc_id, size, source, source_size, target, copies and taken words.
-
-    ``copies`` is how often the mix takes the document, at most ``ceil(most)``; ``taken`` is
-    ``copies * size``. NULL text has size 0, NULL is a source of its own. Rows with the same id
-    share their hash and so their fate. A source of size 0 has target 0 and copies 0. An empty
-    table gives no rows. Other columns of ``docs`` play no part.
-    """
-    sized = stage(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("hash"),
-    ), "mix-sizes")
+def source_edges(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
+                 most: float = 2.0) -> DataFrame:
+    """One row a source of ``sized`` (source, size, hash): size, target, and where the mix cuts
+    it. ``whole`` times it takes all; ``at`` is the hash of the last bucket, which has ``unit``
+    words, when ``left`` words are still to be taken."""
     targets = source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     whole = F.when(F.col("source_size") > 0,
@@ -80,21 +71,59 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
     ).withColumn("at", F.lit(0).cast("long")).withColumn("unit", F.lit(0).cast("long"))
     for shift in range(HASH_BITS - BITS, -1, -BITS):
         edge = _refine(sized, stage(edge, "mix-edge"), shift)
-    edge = stage(edge, "mix-edge")
+    return stage(edge, "mix-edge")
 
+
+def _with_copies(rows: DataFrame, source: str, hashed: Column, edges: DataFrame,
+                 most: float) -> DataFrame:
+    """``rows`` joined with the ``_mix_`` columns of their source, and ``_mix_copies``."""
+    edges = edges.select(*[F.col(c).alias(f"_mix_{c}") for c in edges.columns])
+    at, left = F.col("_mix_at"), F.col("_mix_left")
     # The documents of the last bucket share one hash; they go in if that ends nearer the target.
-    below = (F.col("hash") < F.col("at")) | (
-        (F.col("hash") == F.col("at")) & (2 * F.col("left") > F.col("unit")))
-    d, e = sized.alias("d"), edge.withColumnRenamed("source", "of").alias("e")
-    return (
-        d.join(e, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", F.when(
-            F.col("source_size") > 0,
-            F.least(F.col("whole") + below.cast("long"), F.lit(math.ceil(most)))
-        ).otherwise(0).cast("long"))
-        .select("doc_id", "size", "source", "source_size", "target", "copies",
-                (F.col("copies") * F.col("size")).alias("taken"))
-    )
+    below = (hashed < at) | ((hashed == at) & (2 * left > F.col("_mix_unit")))
+    copies = F.when(
+        F.col("_mix_source_size") > 0,
+        F.least(F.col("_mix_whole") + below.cast("long"), F.lit(math.ceil(most)))
+    ).otherwise(0).cast("long")
+    return rows.join(edges, F.col(source).eqNullSafe(F.col("_mix_source"))) \
+        .withColumn("_mix_copies", copies)
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return stage(docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("hash"),
+    ), "mix-sizes")
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
+                most: float = 2.0, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source") -> DataFrame:
+    """One row a document: doc_id, size, source, source_size, target, copies and taken words.
+
+    ``copies`` is how often the mix takes the document, at most ``ceil(most)``; ``taken`` is
+    ``copies * size``. NULL text has size 0, NULL is a source of its own. Rows with the same id
+    share their hash and so their fate. A source of size 0 has target 0 and copies 0. An empty
+    table gives no rows. Other columns of ``docs`` play no part.
+    """
+    sized = _sized(docs, id_col, text_col, source_col)
+    edges = source_edges(sized, weights, share, most)
+    return _with_copies(sized, "source", F.col("hash"), edges, most).select(
+        "doc_id", "size", "source", F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"), F.col("_mix_copies").alias("copies"),
+        (F.col("_mix_copies") * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
+             most: float = 2.0, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them. Texts are not shuffled while the table
+    of sources, one row each, is small enough for Spark to broadcast."""
+    edges = source_edges(_sized(docs, id_col, text_col, source_col), weights, share, most)
+    mixed = _with_copies(docs, source_col, id_hash(F.col(id_col)), edges, most)
+    return mixed.where("_mix_copies > 0").withColumn(
+        "_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))
+    ).select(*[F.col(c) for c in docs.columns])
 
 
 def _refine(sized: DataFrame, edge: DataFrame, shift: int) -> DataFrame:
