@@ -100,13 +100,13 @@ def mover_history(
     return top(score(sums, rules), rules.top_k)
 
 
-def rank_movers(scored: DataFrame, k: int) -> DataFrame:
-    """Competition rank by impact within a window, ranks up to ``k``: equal scores share a rank,
-    and all rows of a shared rank are listed."""
+def rank_movers(scored: DataFrame, k: int | None = None) -> DataFrame:
+    """Competition rank by impact within a window, of all channels or up to rank ``k``: equal
+    scores share a rank, and all rows of a shared rank are listed."""
     by_score = W.partitionBy("insight_date", "insight_type") \
         .orderBy(F.desc_nulls_last("impact_score"))
-    return scored.withColumn("impact_rank", F.rank().over(by_score)) \
-        .where(F.col("impact_rank") <= k)
+    ranked = scored.withColumn("impact_rank", F.rank().over(by_score))
+    return ranked if k is None else ranked.where(F.col("impact_rank") <= k)
 
 
 def mover_struct() -> Column:

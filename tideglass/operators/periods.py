@@ -75,6 +75,13 @@ def period_windows(
     )
 
 
+def window_label(start: str = "window_start", end: str = "window_end") -> Column:
+    """What a window is called beside its figures: "On 2021-01-31", "Last 7 days to 2021-01-31"."""
+    days = F.datediff(end, start) + 1
+    return F.when(days == 1, F.format_string("On %s", F.col(end).cast("string"))).otherwise(
+        F.format_string("Last %d days to %s", days, F.col(end).cast("string")))
+
+
 @dataclass(frozen=True)
 class Window:
     """One window as plain dates, for a run over a handful of windows."""

@@ -18,14 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread_small_scan(df: DataFrame) -> DataFrame:
-    """A small file is read by one task or two, and rows that grow after the scan would all grow
-    there. Only a scan with fewer splits than the session has cores is spread; a large table has
-    thousands and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _percent(c: str) -> Column:
     """0.07 -> 7."""
     return (F.col(c) * 100 + 0.5).cast("int")
@@ -41,8 +33,7 @@ def _text(*parts: Column | str) -> Column:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested raw events: one per order line, with one item per line number. The arrays hold at most
-    seven items, as line numbers do."""
+    """Nested raw events: one per order line, with as many items as its line number says."""
     discount, tax = _percent("l_discount"), _percent("l_tax")
     param = "struct<key:string,value:struct<string_value:string,int_value:bigint>>"
 
@@ -55,13 +46,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("value"),
         ).cast(param)
 
-    def item(i: int) -> Column:
+    def item(i: Column) -> Column:
         return F.struct(
-            _text(F.col("l_partkey"), f"-{i}").alias("item_id"),
-            F.lit(f"item {i}").alias("item_name"),
+            _text(F.col("l_partkey"), "-", i).alias("item_id"),
+            _text("item ", i).alias("item_name"),
             F.col("l_returnflag").alias("item_category"),
-            (F.col("l_extendedprice") if i < 7 else F.lit(None).cast("double")).alias("price"),
-            F.lit(i).cast("bigint").alias("quantity"),
+            F.when(i < 7, F.col("l_extendedprice")).alias("price"),
+            i.cast("bigint").alias("quantity"),
         )
 
     params = F.array(
@@ -90,10 +81,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_params": F.when(discount >= 5, F.concat(params, referrer)).otherwise(params),
         "items": F.when(F.col("l_quantity") == 2, F.array().cast(RAW_EVENT["items"].dataType))
         .when(F.col("l_quantity") > 2,
-              F.slice(F.array(*[item(i) for i in range(1, 8)]), 1, F.col("l_linenumber"))),
+              F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), item)),
     }
-    lines = _spread_small_scan(table(spark, sf_dir, "lineitem"))
-    return lines.select(*[
+    return table(spark, sf_dir, "lineitem").select(*[
         columns[f.name].cast(f.dataType).alias(f.name) for f in RAW_EVENT.fields
     ])
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideglass.config import BACKFILL, DAILY, Preset, Tables
 from tideglass.operators.kpi import kpi_history, kpis
 from tideglass.operators.marts import span_of
 from tideglass.operators.movers import mover_history, movers
 from tideglass.operators.periods import windows_of_anchor
-from tideglass.plans.insights import Respond, build_insights, with_inputs
+from tideglass.plans.insights import Count, Respond, build_insights, with_inputs
 from tideglass.sources.catalog import read_table
 from tideglass.sources.insight_store import upsert
 
@@ -40,6 +40,7 @@ def historical_insights(
     preset: Preset = BACKFILL,
     respond: Respond | None = None,
     model_name: str = "generator",
+    count_tokens: Count | None = None,
 ) -> DataFrame:
     """Four insight rows for every date ``start``..``end``, the whole span by default, in one
     pass. Total windows begin at the start of the span whatever ``start`` is."""
@@ -49,6 +50,32 @@ def historical_insights(
         kpi_history(purchases, first, last, min_date, preset.month),
         mover_history(attribution, first, last, min_date, preset.month, preset.movers),
     )
+    return build_insights(inputs, preset, respond, model_name, count_tokens)
+
+
+def missing_insights(
+    purchases: DataFrame,
+    attribution: DataFrame,
+    span: tuple[date, date],
+    stored: DataFrame,
+    preset: Preset = BACKFILL,
+    respond: Respond | None = None,
+    model_name: str = "generator",
+) -> DataFrame:
+    """The insight rows of every (date, period) of the span that ``stored`` does not have. Texts
+    are made for those only, so a generator is asked for nothing that is there."""
+    first, last = span
+    there = stored.select(
+        F.col("insight_date").alias("_date"), F.initcap("insight_type").alias("_type"))
+
+    def absent(df: DataFrame) -> DataFrame:
+        return df.join(there, (F.col("insight_date") == F.col("_date"))
+                       & (F.col("insight_type") == F.col("_type")), "left_anti")
+
+    inputs = with_inputs(
+        absent(kpi_history(purchases, first, last, first, preset.month)),
+        absent(mover_history(attribution, first, last, first, preset.month, preset.movers)),
+    )
     return build_insights(inputs, preset, respond, model_name)
 
 

@@ -185,7 +185,7 @@ def _scored(pairs: str, size: str, rate: str, missing_zero: bool, min_revenue: s
     where = f"where cast(rc as double) >= {min_revenue}" if min_revenue else ""
     return f"""
 scored as (
-  select insight_date, insight_type, source, medium, campaign,
+  select insight_date, insight_type, window_start, source, medium, campaign,
          cast(rc as double) as revenue_cur, cast(rp as double) as revenue_prev,
          cast(rc - rp as double) as delta_abs,
          cast(rc - rp as double) / nullif(cast(rp as double), 0) as delta_pct,
@@ -195,36 +195,38 @@ scored as (
 ),
 ranked as (
   select *, row_number() over (
-    partition by insight_date, insight_type
+    partition by insight_date, insight_type, window_start
     order by impact_score desc nulls last, revenue_cur desc, revenue_prev desc,
              source nulls last, medium nulls last, campaign nulls last) as rn
   from scored
 ),
 top as (
-  select insight_date, insight_type, cast(rn as integer) as rank, source, medium, campaign,
+  select insight_date, insight_type, window_start, cast(rn as integer) as rank, source, medium, campaign,
          revenue_cur, revenue_prev, delta_abs, delta_pct, impact_score
   from ranked where rn <= 8
 )"""
 
 
 _PAIRS = """
-  select insight_date, insight_type, source, medium, campaign,
+  select insight_date, insight_type, window_start, source, medium, campaign,
          coalesce(sum(revenue) filter (a.date >= window_start), 0) as rc,
          coalesce(sum(revenue) filter (a.date < window_start), 0) as rp
   from windows w join attribution a on a.date between w.prev_start and w.window_end
-  group by 1, 2, 3, 4, 5"""
+  group by 1, 2, 3, 4, 5, 6"""
 
 _FULL_JOIN_PAIRS = """
-  select insight_date, insight_type, source, medium, campaign,
+  select insight_date, insight_type, window_start, source, medium, campaign,
          coalesce(rc, 0) as rc, coalesce(rp, 0) as rp
-  from (select insight_date, insight_type, source, medium, campaign, sum(revenue) as rc
+  from (select insight_date, insight_type, window_start, source, medium, campaign,
+               sum(revenue) as rc
         from windows join attribution on date between window_start and window_end
-        group by 1, 2, 3, 4, 5) c
+        group by 1, 2, 3, 4, 5, 6) c
   full join
-       (select insight_date, insight_type, source, medium, campaign, sum(revenue) as rp
+       (select insight_date, insight_type, window_start, source, medium, campaign,
+               sum(revenue) as rp
         from windows join attribution on date between prev_start and prev_end
-        group by 1, 2, 3, 4, 5) p
-  using (insight_date, insight_type, source, medium, campaign)"""
+        group by 1, 2, 3, 4, 5, 6) p
+  using (insight_date, insight_type, window_start, source, medium, campaign)"""
 
 _DAILY = f"""{_LINES},{_windows(_LATEST, 'rolling30')},{_KPIS},
 {_scored(_PAIRS, '0.6', '0.4', True, None)}"""
@@ -239,6 +241,7 @@ filled as (
 
 # --- texts ---------------------------------------------------------------------------------
 
+# fixed values: the texts that stored insights carry
 _ACTIONS = ("['Validate GA4 → warehouse pipeline.', 'Review paid campaigns & pacing.', "
             "'Assess promo/seasonality effects.']")
 _SHORT_ACTIONS = ("['Review channel changes and data freshness.', "
@@ -281,12 +284,46 @@ told as (
 )"""
 
 
-_HEADS = """
-heads as (
-  select insight_date, insight_type, count(*) as n_movers,
-         max(coalesce(nullif(source, ''), '(none)')) filter (rank = 1) as top_source
-  from top group by 1, 2
-)"""
+_KPI_PREFIXED = """t.window_start as kpi_window_start, t.window_end as kpi_window_end,
+       revenue as kpi_revenue, orders as kpi_orders, aov as kpi_aov,
+       prev_revenue as kpi_prev_revenue, prev_orders as kpi_prev_orders, prev_aov as kpi_prev_aov,
+       t.delta_abs as kpi_delta_abs, t.delta_pct as kpi_delta_pct"""
+_MOVER = """m.rank - 1 as mover_pos,
+       case when m.rank > 0 then coalesce(nullif(m.source, ''), '(none)') end as source,
+       case when m.rank > 0 then coalesce(nullif(m.medium, ''), '(none)') end as medium,
+       case when m.rank > 0 then coalesce(nullif(m.campaign, ''), '(none)') end as campaign,
+       m.revenue_cur, m.revenue_prev, m.delta_abs, m.delta_pct,
+       case when m.rank > 0 then coalesce(m.impact_score, 0) end as impact_score"""
+_WITH_MOVERS = """left join top m on m.insight_date = t.insight_date
+  and m.insight_type is not distinct from t.insight_type and m.window_start = t.window_start"""
+_DAILY_CARD = """array_to_string([headline, '• ' || bullets[1], '• ' || bullets[2], '',
+  'Next steps', '– ' || actions[1]], chr(10))"""
+_BACKFILL_CARD = """array_to_string([headline, '• ' || bullets[1], '• ' || bullets[2],
+  '• ' || bullets[3], '', 'Next steps', '– ' || actions[1], '– ' || actions[2],
+  '– ' || actions[3]], chr(10))"""
+
+
+def _whole(card: str, created: str = "cast(null as timestamp)", where: str = "") -> str:
+    """All columns of the template's insights, a row for each mover."""
+    return f"""
+select t.insight_date, t.insight_type, t.window_start, t.window_end, headline,
+       array_to_string(bullets, '|') as bullets, array_to_string(actions, '|') as actions,
+       {_KPI_PREFIXED}, 'default' as model_name, cast(0 as bigint) as prompt_tokens,
+       {created} as created_at, '' as raw_prompt, '{{}}' as raw_response,
+       {card} as display_text, {_MOVER}
+from told t {_WITH_MOVERS} {where}"""
+
+
+def _prompt(limits: str) -> str:
+    text = (
+        "Summarise the revenue figures below for a business reader: short, plain, actionable.\n"
+        + limits + "Figures, as JSON: {}\n"
+        "Answer with one JSON object, and with nothing else, that has this JSON schema: "
+        '{"type": "object", "required": ["headline", "bullets", "actions"], "properties": '
+        '{"headline": {"type": "string"}, "bullets": {"type": "array", "items": '
+        '{"type": "string"}}, "actions": {"type": "array", "items": {"type": "string"}}}}\n')
+    return "'" + text.replace("\n", "' || chr(10) || '") + "'"
+
 
 _FIRST_LOAD = """
 loaded as (
@@ -300,6 +337,22 @@ updates as (
   from loaded cross join (values ('Day'), (null)) t(insight_type)
 )"""
 
+_UPSERTED = """
+both_runs as (
+  select insight_date, case when year(insight_date) < 1995 then 'day' else 'Day' end
+           as insight_type, headline, model_name, created_at
+  from loaded where year(insight_date) < 1995 or day(insight_date) % 2 = 1
+  union all
+  select * from updates where year(insight_date) >= 1995 and day(insight_date) % 2 = 0
+),
+upserted as (
+  select *, cast(null as date) as window_start, cast(null as date) as window_end,
+         cast(null as integer) as n_bullets, cast(null as double) as revenue,
+         cast(null as bigint) as prompt_tokens, cast(null as varchar) as raw_prompt,
+         cast(null as varchar) as raw_response, cast(null as varchar) as display_text
+  from both_runs
+)"""
+
 ORACLE: dict[str, str] = {
     # scans, sources, sinks
     "scan_date_range": f"""with {_FLAT_EVENTS}
@@ -308,28 +361,45 @@ select event_dt, event_timestamp, event_name, user_pseudo_id, country, region, d
 from flat_events where event_dt between date '2024-01-03' and date '2024-01-28'""",
     "roundtrip_partitioned": f"with {_FLAT_EVENTS} select *, event_dt as date from flat_events",
     "load_by_pattern": f"""with {_FLAT_EVENTS}
-select event_dt as date, event_timestamp, event_name, item_id, price
+select *, event_dt as date
 from flat_events where event_dt between date '2024-01-01' and date '2024-01-24'""",
+    "skipped_files": f"""with {_FLAT_EVENTS}
+select event_dt as date, count(*) as n_rows,
+       cast(case when event_dt in (date '2024-01-05', date '2024-01-09') then 1 else 0 end as bigint)
+         as n_skipped
+from flat_events group by 1""",
+    "lake_listing": f"with {_FLAT_EVENTS} select distinct event_dt as date from flat_events",
+    "named_tables": f"""with {_LINES}
+select p.date, cast(any_value(p.revenue) as double) as revenue,
+       cast(sum(a.revenue) as double) as channel_revenue
+from purchases p join attribution a on a.date = p.date group by 1""",
+    "materialised_layers": f"""with {_TWICE}
+select event_dt as date,
+       cast(sum(cast(price * quantity as decimal(20, 6))) as double) as revenue,
+       count(distinct {{'u': user_pseudo_id, 's': ga_session_id, 't': event_ts}}) as orders
+from staged where event_name = 'purchase' and price is not null and quantity is not null
+group by 1""",
     "variant_to_typed": f"with {_FLAT_EVENTS} select * from flat_events",
     "variant_cast_losses": f"""with {_FLAT_EVENTS}
-select cast(0 as bigint) as event_name,
-       count(*) filter (event_name = 'CLICK') as ga_session_id,
-       cast(0 as bigint) as price, cast(0 as bigint) as quantity from flat_events""",
+select count(*) filter (event_name = 'CLICK') as ga_session_id,
+       """ + ", ".join(
+           f"cast(0 as bigint) as {c}" for c in (_EVENT_COLUMNS + ", " + _ITEM_COLUMNS).replace(
+               ",", " ").split() if c != "ga_session_id") + " from flat_events",
     "reload_date_range": f"""with {_FLAT_EVENTS}
-select event_dt as date, event_timestamp, event_name,
-       case when event_dt between date '2024-01-10' and date '2024-01-20' then price + 1
-            else price end as price
+select * replace (case when event_dt between date '2024-01-10' and date '2024-01-20'
+                       then price + 1 else price end as price), event_dt as date
 from flat_events
-where not (event_dt between date '2024-01-10' and date '2024-01-20' and event_name = 'ERROR')""",
+where not (event_dt between date '2024-01-10' and date '2024-01-20' and event_name = 'ERROR')
+  and event_dt <> date '2024-01-15'""",
     "insight_schema_evolve": f"""with {_LINES},{_FIRST_LOAD}
 select insight_date, cast(null as varchar) as insight_type, headline, model_name,
        cast(null as date) as window_end, cast(null as bigint) as prompt_tokens,
        cast(null as varchar) as display_text from loaded
 union all
 select insight_date, insight_type, headline, model_name, null, null, null from updates""",
-    "upsert_insights": f"with {_LINES},{_FIRST_LOAD} select * from updates",
-    "upsert_insights_strict": f"""with {_LINES},{_FIRST_LOAD}
-select * from updates union all select * from updates where insight_type is null""",
+    "upsert_insights": f"with {_LINES},{_FIRST_LOAD},{_UPSERTED} select * from upserted",
+    "upsert_insights_strict": f"""with {_LINES},{_FIRST_LOAD},{_UPSERTED}
+select * from upserted union all select * from upserted where insight_type is null""",
     "insights_for_date": f"""with {_LINES},{_FIRST_LOAD}
 select insight_date, insight_type, headline from loaded, span where insight_date = d1
 union all
@@ -347,8 +417,9 @@ where rn = 1 order by insight_date desc, insight_type asc nulls last limit 16"""
 select event_dt, event_name, user_pseudo_id, {_ITEM_COLUMNS} from exploded""",
     "flatten_explode": f"with {_RAW} select {_EVENT_COLUMNS}, {_ITEM_COLUMNS} from flat",
     "flatten_keyjoin": f"""with {_RAW}
-select b.event_dt, b.event_timestamp, b.event_name, b.user_pseudo_id, b.ga_session_id,
-       i.item_id, i.price, i.quantity
+select b.event_dt, b.event_timestamp, b.event_name, b.user_pseudo_id, b.country, b.region,
+       b.device_category, b.source, b.medium, b.campaign, b.page_location, b.page_referrer,
+       b.ga_session_id, i.item_id, i.item_name, i.item_category, i.price, i.quantity
 from base b left join exploded i on i.event_dt = b.event_dt and i.event_name = b.event_name
   and i.user_pseudo_id = b.user_pseudo_id""",
     "stg_events": f"with {_TWICE} select * from staged",
@@ -392,19 +463,31 @@ select md5(coalesce(length(source) || ':' || source, '-') || '|'
        cast(sum(revenue) as double) as revenue, cast(sum(orders) as bigint) as orders
 from attribution group by all""",
     "revenue_reconciliation": f"""with {_RAW},
-delivered as (select * from flat union all select * from flat),{_staged('delivered')},
+delivered as (
+  select d.delivery, d.every, flat.* replace (price + copy as price)
+  from flat cross join (values ('few copies', 997), ('many copies', 10)) d(delivery, every)
+  cross join (values (0), (0), (1)) c(copy)
+  where copy = 0 or ga_session_id % every = 0),
+keyed as (select delivery, {_row_key('event_timestamp')} as row_key, event_name, price, quantity
+          from delivered),
+staged as (
+  select delivery, lower(event_name) as event_name, price, quantity from (
+    select *, row_number() over (partition by delivery, row_key order by price asc nulls last) as rn
+    from keyed) where rn = 1),
 mart as (
-  select cast(sum(cast(price * quantity as decimal(20, 6))) as double) as mart_revenue
-  from staged where event_name = 'purchase' and price is not null and quantity is not null),
+  select delivery, cast(sum(cast(price * quantity as decimal(20, 6))) as double) as mart_revenue
+  from staged where event_name = 'purchase' and price is not null and quantity is not null
+  group by 1),
 baseline as (
-  select cast(sum(cast(price * quantity as decimal(20, 6))) as double) as baseline_revenue
-  from (select distinct event_dt, user_pseudo_id, ga_session_id, item_id, item_name, price,
-               quantity
-        from delivered where lower(event_name) = 'purchase' and price is not null))
-select mart_revenue, baseline_revenue, mart_revenue - baseline_revenue as gap,
-       abs(mart_revenue - baseline_revenue) <= abs(baseline_revenue) * cast(0.0001 as double)
+  select delivery, cast(sum(cast(price * quantity as decimal(20, 6))) as double) as baseline_revenue
+  from (select distinct delivery, event_dt, user_pseudo_id, ga_session_id, item_id, item_name,
+               price, quantity
+        from delivered where lower(event_name) = 'purchase' and price is not null)
+  group by 1)
+select delivery, mart_revenue, baseline_revenue, mart_revenue - baseline_revenue as gap,
+       abs(mart_revenue - baseline_revenue) <= abs(baseline_revenue) * cast(0.01 as double)
          as within_tolerance
-from mart, baseline""",
+from mart join baseline using (delivery)""",
     "source_labels": f"""with {_LINES}
 select case source when 'MACHINERY' then 'Private' when 'HOUSEHOLD' then 'Home'
             else source end as source_label, cast(sum(revenue) as double) as revenue
@@ -432,11 +515,11 @@ select insight_date as date,
   max(orders) filter (insight_type = 'Total') as total_orders
 from kpis group by 1""",
     "movers_fulljoin": f"""with {_LINES},{_windows(_LATEST, 'rolling30')},
-{_scored(_FULL_JOIN_PAIRS, '0.6', '0.4', True, None)} select * from top""",
-    "movers_nullsafe": f"with {_DAILY} select * from top",
+{_scored(_FULL_JOIN_PAIRS, '0.6', '0.4', True, None)} select * exclude (window_start) from top""",
+    "movers_nullsafe": f"with {_DAILY} select * exclude (window_start) from top",
     "movers_conditional": f"""with {_LINES},{_windows(_LATEST, 'calendar')},
-{_scored(_PAIRS, '0.7', '0.3', False, '50')} select * from top""",
-    "movers_backfill": f"with {_BACKFILL} select * from top",
+{_scored(_PAIRS, '0.7', '0.3', False, '50')} select * exclude (window_start) from top""",
+    "movers_backfill": f"with {_BACKFILL} select * exclude (window_start) from top",
     "movers_records": f"""with {_DAILY}
 select insight_date, insight_type, rank - 1 as pos,
        coalesce(nullif(source, ''), '(none)') as source,
@@ -444,12 +527,10 @@ select insight_date, insight_type, rank - 1 as pos,
        coalesce(nullif(campaign, ''), '(none)') as campaign,
        revenue_cur, revenue_prev, delta_abs, delta_pct, impact_score from top""",
     "movers_rank": f"""with {_DAILY}
-select * from (
-  select insight_date, insight_type, source, medium, campaign, impact_score,
-         cast(rank() over (partition by insight_date, insight_type
-                           order by impact_score desc nulls last) as integer) as impact_rank
-  from scored)
-where impact_rank <= 50""",
+select insight_date, insight_type, source, medium, campaign, impact_score,
+       cast(rank() over (partition by insight_date, insight_type
+                         order by impact_score desc nulls last) as integer) as impact_rank
+from scored""",
     # trends
     "trend_ma7": f"""with {_FILLED}
 select date, cast(revenue as double) as revenue,
@@ -470,14 +551,14 @@ z as (
 select date, revenue, round(z, 6) as zscore, coalesce(abs(z) >= 2, false) as is_anomaly from z""",
     "channel_trends": f"""with {_LINES},
 grid as (
-  select s.source, c.date, coalesce(sum(revenue), 0) as revenue,
-         cast(coalesce(sum(orders), 0) as bigint) as orders
-  from calendar c cross join (select distinct source from attribution) s
-  left join attribution a on a.date = c.date and a.source = s.source
-  group by 1, 2
+  select s.source, s.medium, s.campaign, c.date, coalesce(a.revenue, 0) as revenue,
+         cast(coalesce(a.orders, 0) as bigint) as orders
+  from calendar c cross join (select distinct source, medium, campaign from attribution) s
+  left join attribution a on a.date = c.date and a.source is not distinct from s.source
+    and a.medium is not distinct from s.medium and a.campaign is not distinct from s.campaign
 ),
 t as (
-  select source, date, revenue, orders,
+  select source, medium, campaign, date, revenue, orders,
          cast(sum(revenue) over (w rows between 6 preceding and current row) as double)
            / cast(count(*) over (w rows between 6 preceding and current row) as double) as ma,
          lag(revenue, 7) over w as ago,
@@ -485,9 +566,9 @@ t as (
             - avg(cast(revenue as double)) over (w rows between 28 preceding and 1 preceding))
            / nullif(stddev_samp(cast(revenue as double))
                     over (w rows between 28 preceding and 1 preceding), 0) as z
-  from grid window w as (partition by source order by date)
+  from grid window w as (partition by source, medium, campaign order by date)
 )
-select source, date, cast(revenue as double) as revenue, orders, ma as revenue_ma7,
+select source, medium, campaign, date, cast(revenue as double) as revenue, orders, ma as revenue_ma7,
        cast(ago as double) as revenue_lag7, cast(revenue - ago as double) as revenue_delta7,
        cast(revenue - ago as double) / nullif(cast(ago as double), 0) as revenue_pct7,
        round(z, 6) as zscore, coalesce(abs(z) >= 2, false) as is_anomaly
@@ -546,18 +627,29 @@ select conv_id, turn,
                                       lambda s: substring(s, 1, 240)), chr(10)) as display_text
 from t""",
     "parse_response": f"""with {_SPOKEN},
+told as (
+  select *, case when actions is null then cast(to_json({{'headline': headline, 'bullets': bullets}})
+                                            as varchar)
+            else cast(to_json({{'headline': headline, 'bullets': bullets, 'actions': actions}})
+                      as varchar) end as as_json
+  from spoken
+),
+given as (
+  select *, kind = 'gap' or (kind = 'as it is' and role = 'assistant') as parsed,
+         case when kind = 'goes on' then as_json || ' and so on'
+              when kind = 'fence' then as_json || chr(10) || '```'
+              when role = 'system' then trim(cast(to_json(bullets) as varchar))
+              else regexp_replace(text, {_EDGE}, '', 'g') end as plain
+  from told cross join (values ('as it is'), ('goes on'), ('fence'), ('gap')) k(kind)
+),
 t as (
-  select conv_id, turn,
-         case when role = 'assistant' then substring(headline, 1, 90)
-              else 'AI insight' end as headline,
-         list_transform(
-           case role when 'assistant' then bullets[1:2]
-                when 'system' then [trim(cast(to_json(bullets) as varchar))]
-                else [regexp_replace(text, {_EDGE}, '', 'g')] end,
-           lambda s: substring(s, 1, 110)) as b,
-         list_transform(case when role = 'assistant' then coalesce(actions, [])[1:2] else [] end,
+  select conv_id, turn || ' ' || kind as turn,
+         case when parsed then substring(headline, 1, 90) else 'AI insight' end as headline,
+         list_transform(case when parsed then bullets[1:2] else [plain] end,
+                        lambda s: substring(s, 1, 110)) as b,
+         list_transform(case when parsed then coalesce(actions, [])[1:2] else [] end,
                         lambda s: substring(s, 1, 110)) as a
-  from spoken
+  from given
 )
 select conv_id, turn, headline, cast(len(b) as integer) as n_bullets,
        array_to_string(b, '|') as bullets, cast(len(a) as integer) as n_actions,
@@ -571,34 +663,50 @@ select insight_date, insight_type,
        revenue >= 100000 and orders >= 2 and window_end >= date '1996-01-01' as use_model
 from kpis""",
     "prompt_payload": f"""with {_DAILY}
-select k.insight_date, k.insight_type, lower(k.insight_type) as period,
-       cast(window_start as varchar) as window_start, revenue, orders,
-       coalesce(t.source, '(none)') as top_source, t.impact_score as top_score
-from kpis k left join top t
-  on t.insight_date = k.insight_date and t.insight_type = k.insight_type and t.rank = 1""",
-    "generated_insights": f"""with {_LINES},{_windows('calendar', 'calendar')},{_KPIS}
-select insight_date, insight_type, orders || ' orders' as headline,
-       lower(insight_type) as bullets, cast(3 as integer) as n_actions, 'told' as model_name,
-       orders || ' orders' as raw_headline from kpis""",
-    "insights_latest": f"""with {_DAILY},{_HEADS},{_template('kpis')}
-select t.insight_date, t.insight_type, window_start, window_end, headline,
-       array_to_string(bullets, '|') as bullets, array_to_string(actions, '|') as actions,
-       cast(coalesce(n_movers, 0) as integer) as n_movers, top_source, orders,
-       'default' as model_name,
-       array_to_string([headline, '• ' || bullets[1], '• ' || bullets[2], '', 'Next steps',
-                        '– ' || actions[1]], chr(10)) as display_text
-from told t left join heads h
-  on h.insight_date = t.insight_date and h.insight_type = t.insight_type""",
-    "insights_backfill": f"""with {_BACKFILL},{_HEADS},{_template('kpis')}
-select t.insight_date, t.insight_type, window_start, window_end, headline,
-       array_to_string(bullets, '|') as bullets, array_to_string(actions, '|') as actions,
-       cast(coalesce(n_movers, 0) as integer) as n_movers, top_source, orders,
-       'default' as model_name,
-       array_to_string([headline, '• ' || bullets[1], '• ' || bullets[2], '• ' || bullets[3],
-                        '', 'Next steps', '– ' || actions[1], '– ' || actions[2],
-                        '– ' || actions[3]], chr(10)) as display_text
-from told t left join heads h
-  on h.insight_date = t.insight_date and h.insight_type = t.insight_type""",
+select t.insight_date, t.insight_type, lower(t.insight_type) as period, {_KPI_PREFIXED}, {_MOVER}
+from kpis t {_WITH_MOVERS}""",
+    "prompt_text": f"""with {_LINES},{_windows(_LATEST, 'rolling30')}
+select insight_date, insight_type, p.preset, p.text from windows cross join (values
+  ('daily', {_prompt("Limits: a headline of up to 90 characters, 2 bullets and 2 actions of up to "
+                     "110 characters each.\n")}),
+  ('backfill', {_prompt("")})) p(preset, text)""",
+    "generated_insights": f"""with {_BACKFILL},
+named as (
+  select insight_date, insight_type, list(coalesce(nullif(campaign, ''), '(none)') order by rank)
+           as campaigns
+  from top group by 1, 2)
+select k.insight_date, k.insight_type, orders || ' orders' as headline,
+       array_to_string([lower(k.insight_type)] || coalesce(campaigns, [])[1:3], '|') as bullets,
+       cast(3 as integer) as n_actions, 'told' as model_name, cast(3 as bigint) as prompt_tokens,
+       orders || ' orders' as raw_headline
+from kpis k left join named n
+  on n.insight_date = k.insight_date and n.insight_type = k.insight_type""",
+    "insights_latest": f"with {_DAILY},{_template('kpis')} {_whole(_DAILY_CARD)}",
+    "insights_backfill": f"with {_BACKFILL},{_template('kpis')} {_whole(_BACKFILL_CARD)}",
+    "run_latest_stored": f"""with {_DAILY},{_template('kpis')}
+{_whole(_DAILY_CARD, "timestamp '2024-01-02'")}""",
+    "run_backfill_stored": f"""with {_BACKFILL},{_template('kpis')}
+{_whole(_BACKFILL_CARD, "timestamp '2024-01-01'", "where t.insight_date >= date '1998-01-01'")}""",
+    "insight_holes": f"""with {_BACKFILL},{_template('kpis')}
+{_whole(_BACKFILL_CARD, where="where t.insight_type = 'Total' and day(t.insight_date) = 1 "
+                              "or t.insight_date = date '1995-06-15'")}""",
+    "free_window": f"""with {_LINES},
+windows as (
+  select d1 as insight_date, cast(null as varchar) as insight_type,
+         cast(d1 - n as date) as window_start, d1 as window_end,
+         cast(d1 - n - n - 1 as date) as prev_start, cast(d1 - n - 1 as date) as prev_end
+  from span cross join (values (9), (99)) v(n)
+),{_KPIS},{_scored(_PAIRS, '0.6', '0.4', True, None)},{_template('kpis')} {_whole(_DAILY_CARD)}""",
+    "window_labels": f"""with {_LINES},{_windows('calendar', 'rolling30')},
+named as (
+  select *, cast(window_end - window_start as integer) + 1 as days,
+         cast(prev_end - prev_start as integer) + 1 as prev_days from windows)
+select insight_date, insight_type,
+       case when days = 1 then 'On ' || window_end
+            else 'Last ' || days || ' days to ' || window_end end as label,
+       case when prev_days = 1 then 'On ' || prev_end
+            else 'Last ' || prev_days || ' days to ' || prev_end end as prev_label
+from named""",
     # data quality
     "dq_not_null": f"""with {_TWICE}
 select c.column_name, count(*) filter (case c.column_name
@@ -615,7 +723,8 @@ select device_category, count(*) as n from staged
 where device_category not in ('desktop', 'mobile', 'tablet', '(unknown)') group by 1""",
     "dq_row_key_recompute": f"""with {_TWICE}
 select count(*) as n_rows,
-       count(*) filter (row_key is distinct from {_row_key('event_ts')}) as mismatches
+       count(*) filter (case item_id when '7' then reverse(row_key) when '8' then null
+                        else row_key end is distinct from {_row_key('event_ts')}) as mismatches
 from staged""",
     "dq_purchase_lines": f"""with {_TWICE},
 p as (select * from staged where event_name = 'purchase')
@@ -624,7 +733,9 @@ select 'staging' as layer, count(*) as n_rows,
 union all
 select 'lines', count(*), count(*) filter (price is null or quantity is null) from p
 where price is not null and quantity is not null""",
-    "dq_param_keys": """select t.param, cast(0 as bigint) as failures from
-(values ('page_location'), ('page_referrer'), ('ga_session_id')) t(param)
-where exists (select 1 from lineitem)""",
+    "dq_param_keys": """select t.param,
+       (select case when t.param = 'page_location'
+                    then count(*) filter (l_returnflag not in ('N', 'A')) else 0 end
+        from lineitem) as failures
+from (values ('page_location'), ('page_referrer'), ('ga_session_id')) t(param)""",
 }

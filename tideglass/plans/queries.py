@@ -10,9 +10,9 @@ import json
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideglass.config import BACKFILL, DAILY, Gate, MoverRules
+from tideglass.config import BACKFILL, DAILY, Gate, MoverRules, Tables
 from tideglass.functions.scalars import daily_money, micros_to_ntz, ntz_text, ntz_to_micros, parse_day
 from tideglass.operators import quality, staging, trends
 from tideglass.operators.kpi import kpi_history, kpi_struct, kpis, rolling_kpis
@@ -24,16 +24,20 @@ from tideglass.operators.movers import (
     collect_movers, mover_history, movers, rank_movers, score,
 )
 from tideglass.operators.narrative import (
-    default_insight, display_text, parse_response, prompt_data, sanitize, wants_model,
+    default_insight, display_text, parse_response, prompt, prompt_data, sanitize, wants_model,
+)
+from tideglass.operators.periods import (
+    period_windows, single_window, window_label, windows_of_anchor,
 )
-from tideglass.operators.periods import period_windows, windows_of_anchor
 from tideglass.operators.windows import sums_for_windows
 from tideglass.plans import driver_tables as tables
 from tideglass.plans.insights import build_insights, with_inputs
-from tideglass.plans.jobs import historical_insights, latest_insights
-from tideglass.schemas import ATTRIBUTION_DAILY, CHANNEL, FLAT_EVENT, INSIGHT, STAGED_EVENT
-from tideglass.sources import events, insight_store, lake
-from tideglass.sources.workspace import fresh_folder
+from tideglass.plans.jobs import (
+    historical_insights, latest_insights, missing_insights, run_backfill, run_latest,
+)
+from tideglass.schemas import CHANNEL, INSIGHT, KPI, MOVER
+from tideglass.sources import catalog, events, insight_store, lake
+from tideglass.sources.workspace import fresh_folder, stage
 
 STRICT_DAILY = MoverRules(0.6, 0.4, 0.0, None, null_safe=False)
 FIRST_RUN, SECOND_RUN = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -62,9 +66,52 @@ def roundtrip_partitioned(spark: SparkSession, sf: str) -> DataFrame:
 def load_by_pattern(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "flat")
     lake.write_by_date(tables.flat_events(spark, sf), path)
-    return lake.load_events(
-        spark, path, pattern=r".*date=2024-01-(0[1-9]|1[0-9]|2[0-4])/.*"
-    ).select("date", "event_timestamp", "event_name", "item_id", "price")
+    return lake.load_events(spark, path, pattern=r".*date=2024-01-(0[1-9]|1[0-9]|2[0-4])/.*")
+
+
+def skipped_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files that are no Parquet lie in the lake: the rest loads, and the two are reported."""
+    path = fresh_folder(spark, "flat")
+    lake.write_by_date(tables.flat_events(spark, sf), path)
+    for day in ("2024-01-05", "2024-01-09"):
+        spark.createDataFrame([("no parquet",)], "line string").coalesce(1) \
+            .write.mode("append").text(f"{path}/date={day}")
+    loaded = lake.load_events(spark, path, on_error="continue").groupBy("date").agg(
+        F.count("*").alias("n_rows"))
+    skipped = lake.skipped_files(spark, path).groupBy(
+        F.to_date(F.regexp_extract("path", r"date=([0-9-]+)/", 1)).alias("day")
+    ).agg(F.count("*").alias("n_skipped"))
+    return loaded.join(skipped, F.col("date") == F.col("day"), "left").select(
+        "date", "n_rows", F.coalesce("n_skipped", F.lit(0)).alias("n_skipped"))
+
+
+def lake_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The day folders of the lake, from the listing alone."""
+    path = fresh_folder(spark, "flat")
+    lake.write_by_date(tables.flat_events(spark, sf), path)
+    return lake.list_files(spark, path).where("length > 0").select(
+        F.to_date(F.regexp_extract("path", r"date=([0-9-]+)/", 1)).alias("date")).distinct()
+
+
+def named_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts read by the names of a job's settings: one by path, one by a catalog name."""
+    named = Tables(purchases=fresh_folder(spark, "purchases"), attribution="attribution_by_name")
+    catalog.publish_table(tables.purchases(spark, sf), named.purchases)
+    catalog.publish_view(tables.attribution(spark, sf), named.attribution)
+    by_day = catalog.read_table(spark, named, named.attribution).groupBy("date").agg(
+        F.sum("revenue").alias("channel_revenue"))
+    return _as_double(catalog.read_table(spark, named, named.purchases).join(by_day, "date"),
+                      "revenue", "channel_revenue").select("date", "revenue", "channel_revenue")
+
+
+def materialised_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging as a view, the mart of it as a stored table by day."""
+    catalog.publish_view(_staged(spark, sf), "staging_layer")
+    lines = purchase_lines(spark.table("staging_layer"))
+    mart = fresh_folder(spark, "mart")
+    catalog.publish_table(purchases_daily(lines), mart, "date")
+    stored = catalog.read_table(spark, Tables(), mart)
+    return _as_double(stored.select("date", "revenue", "orders"), "revenue")
 
 
 def variant_to_typed(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,17 +129,18 @@ def variant_cast_losses(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_name") == "CLICK", F.lit("none"))
         .otherwise(F.col("ga_session_id").cast("string")).alias("ga_session_id"),
     ).alias("s"))
-    losses = lake.cast_losses(as_sent.select(F.parse_json(F.to_json("s")).alias("v")))
-    return losses.select("event_name", "ga_session_id", "price", "quantity")
+    return lake.cast_losses(as_sent.select(F.parse_json(F.to_json("s")).alias("v")))
 
 
 def reload_date_range(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "flat")
     flat = tables.flat_events(spark, sf)
     lake.write_by_date(flat, path)
-    corrected = flat.where(F.col("event_name") != "ERROR").withColumn("price", F.col("price") + 1)
+    # The corrected delivery has no errors, other prices, and nothing at all for one of the days.
+    corrected = flat.where((F.col("event_name") != "ERROR") & (F.col("event_dt") != "2024-01-15")) \
+        .withColumn("price", F.col("price") + 1)
     lake.reload_dates(corrected, path, date(2024, 1, 10), date(2024, 1, 20))
-    return lake.load_events(spark, path).select("date", "event_timestamp", "event_name", "price")
+    return lake.load_events(spark, path)
 
 
 def _loaded_insights(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,23 +163,29 @@ def _updates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _upserted(spark: SparkSession, sf: str, null_safe: bool) -> DataFrame:
+    """A table written elsewhere, with types in lower case, and two runs that bring the even days
+    from 1995 on: odd days of those years stay as they are, years before are not touched."""
     path = fresh_folder(spark, "insights")
-    insight_store.upsert(spark, path, _loaded_insights(spark, sf), null_safe, FIRST_RUN)
-    updates = _updates(spark, sf)
+    insight_store.conform_to_schema(_loaded_insights(spark, sf).withColumn(
+        "created_at", F.lit(FIRST_RUN.isoformat()).cast("timestamp_ntz"))
+    ).withColumn(insight_store.YEAR, F.year("insight_date")) \
+        .write.partitionBy(insight_store.YEAR).parquet(path)
+    updates = _updates(spark, sf).where(
+        (F.year("insight_date") >= 1995) & (F.dayofmonth("insight_date") % 2 == 0))
     insight_store.upsert(spark, path, updates, null_safe, SECOND_RUN)
-    return insight_store.upsert(spark, path, updates, null_safe, SECOND_RUN)
+    return insight_store.upsert(spark, path, updates, null_safe, SECOND_RUN).select(
+        "insight_date", "insight_type", "window_start", "window_end", "headline",
+        F.size("bullets").alias("n_bullets"), F.col("kpi_used.revenue").alias("revenue"),
+        "model_name", "prompt_tokens", "created_at", "raw_prompt",
+        F.to_json("raw_response").alias("raw_response"), "display_text")
 
 
 def upsert_insights(spark: SparkSession, sf: str) -> DataFrame:
-    return _upserted(spark, sf, True).select(
-        "insight_date", "insight_type", "headline", "model_name", "created_at"
-    )
+    return _upserted(spark, sf, True)
 
 
 def upsert_insights_strict(spark: SparkSession, sf: str) -> DataFrame:
-    return _upserted(spark, sf, False).select(
-        "insight_date", "insight_type", "headline", "model_name", "created_at"
-    )
+    return _upserted(spark, sf, False)
 
 
 def insights_for_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,10 +237,7 @@ def flatten_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flatten_keyjoin(spark: SparkSession, sf: str) -> DataFrame:
-    return events.flatten_events(tables.raw_events(spark, sf), mode="keyjoin").select(
-        "event_dt", "event_timestamp", "event_name", "user_pseudo_id", "ga_session_id",
-        "item_id", "price", "quantity",
-    )
+    return events.flatten_events(tables.raw_events(spark, sf), mode="keyjoin")
 
 
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,7 +303,8 @@ def purchases_zero_filled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_channel(spark: SparkSession, sf: str) -> DataFrame:
-    facts = tables.attribution(spark, sf)
+    # Facts are stored once, as a warehouse does; the dimension is made from the stored rows.
+    facts = stage(tables.attribution(spark, sf), "facts")
     joined = star(facts, tables.calendar(spark, sf), dim_channel(facts))
     return _as_double(joined.groupBy("channel_key", *CHANNEL, F.year("date").alias("year")).agg(
         F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders")
@@ -260,10 +312,21 @@ def star_channel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def revenue_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row is delivered twice; some sessions' rows a third time with another price. Those
+    share the key of their row, so the mart has them once and the strict baseline twice: a gap
+    within the tolerance for few such sessions, and beyond it for many."""
     flat = events.flatten_events(tables.raw_events(spark, sf))
-    delivered = flat.unionByName(flat)
-    mart = purchases_daily(purchase_lines(staging.stage_events(delivered, ["purchase"])))
-    return reconcile(mart, strict_revenue(staging.standardise(delivered)), 0.0001)
+
+    def checked(case: str, every: int) -> DataFrame:
+        times = F.when(F.col("ga_session_id") % every == 0, F.array(*map(F.lit, (0, 0, 1)))) \
+            .otherwise(F.array(F.lit(0), F.lit(0)))
+        delivered = flat.withColumn("_copy", F.explode(times)) \
+            .withColumn("price", F.col("price") + F.col("_copy")).drop("_copy")
+        mart = purchases_daily(purchase_lines(staging.stage_events(delivered, ["purchase"])))
+        return reconcile(mart, strict_revenue(staging.standardise(delivered)), 0.01).select(
+            F.lit(case).alias("delivery"), "*")
+
+    return checked("few copies", 997).unionByName(checked("many copies", 10))
 
 
 def source_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,7 +408,7 @@ def movers_records(spark: SparkSession, sf: str) -> DataFrame:
 def movers_rank(spark: SparkSession, sf: str) -> DataFrame:
     windows = _latest_windows(spark, sf, "rolling30")
     sums = sums_for_windows(tables.attribution(spark, sf), windows, ["revenue"], CHANNEL)
-    return rank_movers(score(sums, DAILY.movers), 50).select(
+    return rank_movers(score(sums, DAILY.movers)).select(
         "insight_date", "insight_type", *CHANNEL, "impact_score", "impact_rank"
     )
 
@@ -370,15 +433,8 @@ def trend_zscore(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def channel_trends(spark: SparkSession, sf: str) -> DataFrame:
-    first, last = tables.order_span(spark, sf)
-    by_source = tables.attribution(spark, sf).withColumns(
-        {c: F.lit(None).cast("string") for c in ("medium", "campaign")}
-    )
-    daily = by_source.groupBy("date", *CHANNEL).agg(
-        *[F.sum(c).cast(ATTRIBUTION_DAILY[c].dataType).alias(c) for c in ("revenue", "orders")]
-    )
-    trend = trends.channel_trends(daily, first, last).withColumn("zscore", F.round("zscore", 6))
-    return _as_double(trend, "revenue", "revenue_lag7").drop("medium", "campaign")
+    trend = trends.channel_trends(tables.attribution(spark, sf), *tables.order_span(spark, sf))
+    return _as_double(trend.withColumn("zscore", F.round("zscore", 6)), "revenue", "revenue_lag7")
 
 
 def period_over_period(spark: SparkSession, sf: str) -> DataFrame:
@@ -460,7 +516,15 @@ def parse_response_query(spark: SparkSession, sf: str) -> DataFrame:
     response = F.when(F.col("role") == "assistant", F.to_json("narrative")) \
         .when(F.col("role") == "system", F.to_json("narrative.bullets")) \
         .otherwise(F.concat(F.lit(" "), F.col("text")))
-    return _narrative_columns(spoken, parse_response(response, DAILY.text))
+    told = F.to_json("narrative")
+    gap = F.to_json(F.col("narrative").withField("bullets", F.concat(
+        F.array(F.lit(None).cast("string")), F.col("narrative.bullets"))))
+    cases = {"as it is": response, "goes on": F.concat(told, F.lit(" and so on")),
+             "fence": F.concat(told, F.lit("\n```")), "gap": gap}
+    given = spoken.select("conv_id", "turn", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), v.alias("response")) for k, v in cases.items()
+    ])).alias("r")).select("conv_id", F.concat_ws(" ", "turn", "r.kind").alias("turn"), "r.response")
+    return _narrative_columns(given, parse_response(F.col("response"), DAILY.text))
 
 
 def default_insight_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -488,42 +552,104 @@ def prompt_payload(spark: SparkSession, sf: str) -> DataFrame:
     payload = prompt_data(F.col("kpi"), F.col("top_movers"), F.lower("insight_type"))
     sent = inputs.select("insight_date", "insight_type", F.parse_json(payload).alias("p"))
 
-    def got(path: str, kind: str) -> Column:
-        return F.variant_get("p", path, kind)
-
+    # All that was sent, read back: the KPI record, and each mover with its amounts.
     return sent.select(
-        "insight_date", "insight_type",
-        got("$.kpi.period", "string").alias("period"),
-        got("$.kpi.window_start", "string").alias("window_start"),
-        got("$.kpi.revenue", "double").alias("revenue"),
-        got("$.kpi.orders", "bigint").alias("orders"),
-        got("$.top_movers[0].source", "string").alias("top_source"),
-        got("$.top_movers[0].impact_score", "double").alias("top_score"),
+        "insight_date", "insight_type", F.variant_get("p", "$.kpi.period", "string").alias("period"),
+        F.variant_get("p", "$.kpi", KPI.simpleString()).alias("kpi"),
+        F.posexplode_outer(F.variant_get(
+            "p", "$.top_movers", T.ArrayType(MOVER).simpleString())).alias("mover_pos", "m"),
+    ).select("insight_date", "insight_type", "period", *_kpi_columns(), "mover_pos", "m.*")
+
+
+def prompt_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The prompt around the data, for either preset; the data is in ``prompt_payload``."""
+    windows = _latest_windows(spark, sf, "rolling30")
+    inputs = with_inputs(
+        kpis(tables.purchases(spark, sf), windows),
+        movers(tables.attribution(spark, sf), windows, DAILY.movers),
     )
+    data = prompt_data(F.col("kpi"), F.col("top_movers"))
+    both = F.explode(F.array(*[
+        F.struct(F.lit(p.name).alias("preset"), F.replace(
+            prompt(F.col("kpi"), F.col("top_movers"), p.text), data, F.lit("{}")).alias("text"))
+        for p in (DAILY, BACKFILL)])).alias("p")
+    return inputs.select("insight_date", "insight_type", both).select(
+        "insight_date", "insight_type", "p.*")
 
 
-def _summary(rows: DataFrame) -> DataFrame:
-    return rows.select(
+def _kpi_columns() -> list[Column]:
+    return [F.col(f"kpi.{f.name}").alias(f"kpi_{f.name}") for f in KPI.fields]
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Every stored column as a plain one, a row for each mover and one for none."""
+    return rows.withColumnRenamed("kpi_used", "kpi").select(
         "insight_date", "insight_type", "window_start", "window_end", "headline",
         F.array_join("bullets", "|").alias("bullets"),
         F.array_join("actions", "|").alias("actions"),
-        F.size("top_movers_used").alias("n_movers"),
-        F.get("top_movers_used", 0)["source"].alias("top_source"),
-        F.col("kpi_used.orders").alias("orders"),
-        "model_name", "display_text",
-    )
+        *_kpi_columns(), "model_name", "prompt_tokens", "created_at", "raw_prompt",
+        F.to_json("raw_response").alias("raw_response"), "display_text",
+        F.posexplode_outer("top_movers_used").alias("mover_pos", "m"),
+    ).select("*", "m.*").drop("m")
+
+
+def _facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, tuple[date, date]]:
+    return (tables.purchases(spark, sf), tables.attribution(spark, sf),
+            tables.order_span(spark, sf))
 
 
 def insights_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return _summary(latest_insights(
-        tables.purchases(spark, sf), tables.attribution(spark, sf), tables.order_span(spark, sf)
-    ))
+    return _whole(latest_insights(*_facts(spark, sf)))
 
 
 def insights_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    return _summary(historical_insights(
-        tables.purchases(spark, sf), tables.attribution(spark, sf), tables.order_span(spark, sf)
-    ))
+    return _whole(historical_insights(*_facts(spark, sf)))
+
+
+def _job_tables(spark: SparkSession, sf: str) -> Tables:
+    """The facts and the date dimension stored where a job finds them."""
+    folder = fresh_folder(spark, "job")
+    named = Tables(*[f"{folder}/{n}" for n in ("purchases", "attribution", "dates", "insights")])
+    catalog.publish_table(tables.purchases(spark, sf), named.purchases)
+    catalog.publish_table(tables.attribution(spark, sf), named.attribution)
+    catalog.publish_table(tables.calendar(spark, sf), named.dates)
+    return named
+
+
+def run_latest_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job, run twice, as its table has it afterwards."""
+    named = _job_tables(spark, sf)
+    run_latest(spark, named, now=FIRST_RUN)
+    return _whole(run_latest(spark, named, now=SECOND_RUN))
+
+
+def run_backfill_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The historical job from 1998 on, as its table has it afterwards."""
+    return _whole(run_backfill(spark, _job_tables(spark, sf), start=date(1998, 1, 1), now=FIRST_RUN))
+
+
+def insight_holes(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that lost the Total insight of every first of a month and all of one day: those,
+    and only those, are built again."""
+    facts = _facts(spark, sf)
+    stored = historical_insights(*facts).where(
+        ~((F.col("insight_type") == "Total") & (F.dayofmonth("insight_date") == 1))
+        & (F.col("insight_date") != "1995-06-15"))
+    return _whole(missing_insights(*facts, stored))
+
+
+def free_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Insights of two windows that are no period, both ending on the last day."""
+    purchases, attribution, (_, last) = _facts(spark, sf)
+    windows = [single_window(date.fromordinal(last.toordinal() - n), last) for n in (9, 99)]
+    inputs = with_inputs(kpis(purchases, windows), movers(attribution, windows, DAILY.movers))
+    return _whole(build_insights(inputs, DAILY))
+
+
+def window_labels(spark: SparkSession, sf: str) -> DataFrame:
+    windows = period_windows_query(spark, sf)
+    return windows.select("insight_date", "insight_type", window_label().alias("label"),
+                          window_label("prev_start", "prev_end").alias("prev_label"))
 
 
 def generated_insights(spark: SparkSession, sf: str) -> DataFrame:
@@ -534,21 +660,21 @@ def generated_insights(spark: SparkSession, sf: str) -> DataFrame:
         for text in prompts:
             data, _ = json.JSONDecoder().raw_decode(text[text.index('{"kpi"'):])
             answers.append(json.dumps({
-                "headline": f"{data['kpi']['orders']} orders", "bullets": [data["kpi"]["period"]],
+                "headline": f"{data['kpi']['orders']} orders",
+                "bullets": [data["kpi"]["period"], *[m["campaign"] for m in data["top_movers"]]],
                 "actions": [],
             }))
         return answers
 
-    first, last = tables.order_span(spark, sf)
-    # Without movers the prompt is the KPI record alone.
-    inputs = kpi_history(tables.purchases(spark, sf), first, last, first, "calendar").select(
-        "insight_date", "insight_type", kpi_struct().alias("kpi"),
-        F.array().cast(INSIGHT["top_movers_used"].dataType).alias("top_movers"),
-    )
-    rows = build_insights(inputs, BACKFILL, orders_told, "told")
+    def lines(texts: list[str]) -> list[int]:
+        """A stand-in for a tokenizer: counts the lines."""
+        return [t.count("\n") for t in texts]
+
+    rows = historical_insights(*_facts(spark, sf), respond=orders_told, model_name="told",
+                               count_tokens=lines)
     return rows.select(
         "insight_date", "insight_type", "headline", F.array_join("bullets", "|").alias("bullets"),
-        F.size("actions").alias("n_actions"), "model_name",
+        F.size("actions").alias("n_actions"), "model_name", "prompt_tokens",
         F.variant_get("raw_response", "$.headline", "string").alias("raw_headline"),
     )
 
@@ -570,7 +696,10 @@ def dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_row_key_recompute(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_row_key(_staged(spark, sf))
+    """The keys of one item's rows have been written wrongly, those of another are missing."""
+    wrong = F.when(F.col("item_id") == "7", F.reverse("row_key")) \
+        .when(F.col("item_id") == "8", F.lit(None)).otherwise(F.col("row_key"))
+    return quality.check_row_key(_staged(spark, sf).withColumn("row_key", wrong))
 
 
 def dq_purchase_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -579,15 +708,21 @@ def dq_purchase_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_param_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_param_keys(
-        tables.raw_events(spark, sf), ["page_location", "page_referrer", "ga_session_id"]
-    )
+    """Views carry their first parameter twice."""
+    twice = F.concat("event_params", F.slice("event_params", 1, 1))
+    raw = tables.raw_events(spark, sf).withColumn("event_params", F.when(
+        F.col("event_name") == "view_item", twice).otherwise(F.col("event_params")))
+    return quality.check_param_keys(raw, ["page_location", "page_referrer", "ga_session_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_date_range": scan_date_range,
     "roundtrip_partitioned": roundtrip_partitioned,
     "load_by_pattern": load_by_pattern,
+    "skipped_files": skipped_files,
+    "lake_listing": lake_listing,
+    "named_tables": named_tables,
+    "materialised_layers": materialised_layers,
     "variant_to_typed": variant_to_typed,
     "variant_cast_losses": variant_cast_losses,
     "reload_date_range": reload_date_range,
@@ -639,7 +774,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "default_insight": default_insight_query,
     "generator_gate": generator_gate,
     "prompt_payload": prompt_payload,
+    "prompt_text": prompt_text,
     "generated_insights": generated_insights,
+    "run_latest_stored": run_latest_stored,
+    "run_backfill_stored": run_backfill_stored,
+    "insight_holes": insight_holes,
+    "free_window": free_window,
+    "window_labels": window_labels,
     "insights_latest": insights_latest,
     "insights_backfill": insights_backfill,
     "dq_not_null": dq_not_null,

@@ -73,7 +73,8 @@ def explode_items(raw: DataFrame) -> DataFrame:
 
 
 def flatten_events(
-    raw: DataFrame, start: str | None = None, end: str | None = None, mode: str = "explode"
+    raw: DataFrame, start: str | None = None, end: str | None = None, mode: str = "explode",
+    salt: int = 8,
 ) -> DataFrame:
     """The 18-column flat table for one range of days, used for events and items alike.
 
@@ -83,8 +84,9 @@ def flatten_events(
                  so an event meets the items of all same-named events its user had that day, and
                  the result grows with the product of the two sides. That product is the defined
                  content of the older table, so nothing is left out here; use it only to
-                 reproduce that table. A plain left equi-join leaves a hot key to AQE, which
-                 splits the event side and so spreads the key over tasks.
+                 reproduce that table. The events of a key are dealt over ``salt`` join keys and
+                 its items repeated for each, so that a hot key is worked on by ``salt`` tasks;
+                 raise it with the largest key's share of the rows.
     """
     raw = days_between(raw, start, end)
     if mode == "explode":
@@ -92,9 +94,11 @@ def flatten_events(
             "*", *[f"item.{c}" for c in ITEM_COLUMNS]
         )
     elif mode == "keyjoin":
-        flat = flatten_params(raw).join(
-            explode_items(raw), ["event_dt", "event_name", "user_pseudo_id"], "left"
-        )
+        dealt = flatten_params(raw).withColumn(
+            "_salt", F.pmod(F.xxhash64("event_timestamp", "ga_session_id"), F.lit(salt)).cast("int"))
+        items = explode_items(raw).withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        flat = dealt.join(items, ["event_dt", "event_name", "user_pseudo_id", "_salt"], "left")
     else:
         raise ValueError(f"unknown flatten mode {mode!r}")
     return flat.select(*FLAT_EVENT.fieldNames())

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tideglass.schemas import INSIGHT
-from tideglass.sources.workspace import fresh_folder
+from tideglass.sources.workspace import fresh_folder, remove_folder
 
 YEAR = "insight_year"
 STORED = T.StructType([*INSIGHT.fields, T.StructField(YEAR, T.IntegerType())])
@@ -37,6 +37,20 @@ def read_insights(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).option("basePath", path).parquet(path)
 
 
+def _one_per_key(df: DataFrame, null_safe: bool, *first: Column) -> DataFrame:
+    """One row a key, by ``first`` and then by all other columns, so that the order of the rows
+    never decides. Without ``null_safe`` a NULL in the key makes a row a key of its own."""
+    rest = [F.to_json(f.name) if isinstance(f.dataType, T.VariantType) else F.col(f.name)
+            for f in INSIGHT.fields]
+    rank = Window.partitionBy("insight_date", _type_key(null_safe)).orderBy(
+        *first, *[c.asc_nulls_last() for c in rest])
+    keyless = F.col("insight_date").isNull()
+    if not null_safe:
+        keyless = keyless | F.col("insight_type").isNull()
+    return df.withColumn("_rank", F.row_number().over(rank)) \
+        .where((F.col("_rank") == 1) | keyless).drop("_rank")
+
+
 def _type_key(null_safe: bool) -> Column:
     return F.coalesce("insight_type", F.lit("")) if null_safe else F.col("insight_type")
 
@@ -48,8 +62,9 @@ def merge_rows(
 
     A matched row is replaced, an unmatched one added; both get ``created_at = now``. With
     ``null_safe`` a NULL type is a key like ''; without, it matches nothing and is always added.
-    Types are stored in title case, so that 'total' and 'Total' are one key. Of several rows for
-    one key in ``rows`` one is kept, by a fixed order.
+    Types are brought to title case on both sides, so that 'total' and 'Total' are one key. Of
+    several rows for one key in ``rows`` one is kept, by a fixed order of all columns; of several
+    stored rows for one key, as tables written elsewhere have, the newest.
     """
     # Given as text, the moment does not pass through any time zone.
     stamp = F.localtimestamp() if now is None else F.lit(now.isoformat()).cast("timestamp_ntz")
@@ -58,20 +73,17 @@ def merge_rows(
         .withColumn("insight_type", F.initcap("insight_type"))
         .withColumn("created_at", stamp)
     )
-    rank = Window.partitionBy("insight_date", _type_key(null_safe)).orderBy(
-        F.desc_nulls_last("window_end"), F.asc_nulls_last("headline"),
-        F.asc_nulls_last("display_text"), F.asc_nulls_last("model_name"),
-    )
-    keyless = F.col("insight_date").isNull()
-    if not null_safe:
-        keyless = keyless | F.col("insight_type").isNull()
-    rows = rows.withColumn("_rank", F.row_number().over(rank)) \
-        .where((F.col("_rank") == 1) | keyless).drop("_rank")
+    rows = _one_per_key(
+        rows, null_safe, F.desc_nulls_last("window_end"), F.asc_nulls_last("headline"),
+        F.asc_nulls_last("display_text"), F.asc_nulls_last("model_name"))
+    existing = _one_per_key(
+        conform_to_schema(existing).withColumn("insight_type", F.initcap("insight_type")),
+        null_safe, F.desc_nulls_last("created_at"))
 
     replaced = rows.select(
         F.col("insight_date").alias("_date"), _type_key(null_safe).alias("_type")
     )
-    kept = conform_to_schema(existing).join(
+    kept = existing.join(
         replaced,
         (F.col("insight_date") == F.col("_date")) & (_type_key(null_safe) == F.col("_type")),
         "left_anti",
@@ -90,8 +102,9 @@ def upsert(
 
     Only the years that ``rows`` touch are read and rewritten. The merged years are first written
     to the shared work folder, then put in place from there: the table is never overwritten while
-    it is read, a generator behind ``rows`` runs once, and a run that dies while replacing years
-    can be repeated from that folder. One writer at a time.
+    it is read, and a generator behind ``rows`` runs once. A run that dies can be run again with
+    the same rows: years it had replaced come out the same. The work folders are removed at the
+    end. One writer at a time.
     """
     create_if_missing(spark, path)
     given = fresh_folder(spark, "rows")
@@ -117,6 +130,8 @@ def upsert(
         .parquet(path)
     )
     spark.catalog.refreshByPath(path)
+    remove_folder(spark, given)
+    remove_folder(spark, staged)
     return read_insights(spark, path)
 
 

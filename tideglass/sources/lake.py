@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tideglass.functions.scalars import micros_to_ntz
 from tideglass.schemas import FLAT_EVENT
+from tideglass.sources.workspace import remove_folder
 
 DAY_FOLDER = "date"
 
@@ -56,15 +57,16 @@ def load_events(
     path: str,
     dates: tuple[date | str, date | str] | None = None,
     pattern: str | None = None,
-    on_error: str = "continue",
+    on_error: str = "abort",
     schema: T.StructType = FLAT_EVENT,
 ) -> DataFrame:
     """Flat events of the lake: all, a range of days, or the files whose path matches ``pattern``.
 
     ``dates`` prunes folders and is the preferred way. ``pattern`` is a regular expression for
     the whole path; a range of months loaded by three patterns elsewhere is one alternation here.
-    ``on_error="continue"`` skips unreadable files, ``"abort"`` fails the read. Parquet has no
-    per-row continue: a file is read or skipped as a whole.
+    ``on_error="abort"`` fails the read at an unreadable file, ``"continue"`` skips it;
+    ``skipped_files`` then names what was left out. Parquet has no per-row continue: a file is
+    read or skipped as a whole.
     """
     if on_error not in ("continue", "abort"):
         raise ValueError(f"unknown on_error {on_error!r}")
@@ -82,6 +84,17 @@ def load_events(
     return events
 
 
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType = FLAT_EVENT) -> DataFrame:
+    """The files below ``path`` that ``on_error="continue"`` leaves out: those listed that give no
+    row (a readable file without rows is among them, and loses nothing). Paths and sizes."""
+    read = load_events(spark, path, on_error="continue", schema=schema) \
+        .select(F.col("_metadata.file_path").alias("path")).distinct()
+    listed = list_files(spark, path, "part-*")
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    return listed.withColumn("path", plain).join(
+        read.withColumn("path", plain), "path", "left_anti").select("path", "length")
+
+
 def type_variant_rows(
     df: DataFrame, column: str = "v", schema: T.StructType = FLAT_EVENT, strict: bool = True
 ) -> DataFrame:
@@ -138,10 +151,4 @@ def reload_dates(
     )
     write_by_date(in_range, path, date_col)
     for row in stale:
-        _remove_folder(spark, f"{path.rstrip('/')}/{DAY_FOLDER}={row[0].isoformat()}")
-
-
-def _remove_folder(spark: SparkSession, folder: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(hadoop_path, True)
+        remove_folder(spark, f"{path.rstrip('/')}/{DAY_FOLDER}={row[0].isoformat()}")

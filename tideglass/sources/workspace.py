@@ -17,6 +17,13 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/tideglass/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever store it lies. PySpark has no call for it, so this one place
+    goes through the JVM's file systems; it needs a classic session."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to a fresh folder and read again: cuts the lineage, and what comes after
     neither computes ``df`` twice nor depends on the executors that did."""
