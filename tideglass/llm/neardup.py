@@ -10,11 +10,11 @@ similarity is the probability Jaccard, which for weights of 1 is the ordinary Ja
    in a register with a probability of their similarity. A shingle's process ends as soon as its
    next arrival is later than the latest register of its text.
 3. Nodes that agree in all ROWS registers of a band share a bucket. Each member is compared with
-   HUBS members of its bucket: linear in the bucket. Where that leaves a bucket in several
-   components, all members outside its largest component are compared with all its members, in
-   bounded blocks, so that no pair of different components that shares a bucket is left out.
-4. A pair whose registers agree well enough (SLACK standard errors below the threshold) is
-   verified on the exact shingles of both texts.
+   HUBS members of its bucket: linear in the bucket. A pair whose registers agree well enough
+   (SLACK standard errors below the threshold) is verified on the exact shingles of both texts.
+4. Where that leaves a bucket in several components, all members outside its largest component
+   are compared with all its members on their exact shingles, in bounded cells that return links
+   and not pairs, so that no link between components that share a bucket is left out.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 HUBS = 3
 SLACK = 4.5
-LEFT_ROWS, RIGHT_ROWS = 128, 2048  # of a block of step 3
+LEFT_ROWS, RIGHT_ROWS = 128, 512  # of a cell of step 3
 
 _REGISTERS = BANDS * ROWS
 _PASS = THRESHOLD - SLACK * (THRESHOLD * (1 - THRESHOLD) / _REGISTERS) ** 0.5
@@ -151,7 +151,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ok = []
         for k in range(part.num_rows):
             x, y = ((v[c[k]:c[k + 1]], w[c[k]:c[k + 1]]) for v, w, c in sides)
-            ok.append(similarity(x, y) >= THRESHOLD)
+            ok.append(similarity(x, y) >= THRESHOLD - 1e-9)  # sums of shares round
         yield pa.RecordBatch.from_arrays(
             [part.column(0).filter(pa.array(ok)), part.column(1).filter(pa.array(ok))], ["a", "b"])
 
@@ -161,6 +161,12 @@ def _ordered_pairs(pairs: DataFrame) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes: one row for each, that of the least id with the text."""
+    return docs.join(nodes.join(wanted, "node").select("node", "doc_id"), ["node", "doc_id"]) \
+        .dropDuplicates(["node"]).select("node", "text")
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that hold, after the sketches and then the texts have been compared."""
     one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
@@ -169,53 +175,111 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b")
         .mapInArrow(_agreement, "a binary, b binary"), "near-pairs")
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    # One row for each text: that of the least id with it.
-    text = stage(
-        docs.join(nodes.join(wanted, "node").select("node", "doc_id"), ["node", "doc_id"])
-        .dropDuplicates(["node"]).select("node", "text"), "near-texts")
+    text = stage(_texts(wanted, nodes, docs), "near-texts")
     with_text = near.join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     return with_text.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
 
-def _cross_pairs(cell: pa.Table) -> pa.Table:
-    """Pairs of a left and a right member of one block, of different components, that agree."""
-    left = np.asarray(cell["is_left"])
-    node = np.array(cell["node"].to_pylist(), dtype=object)
-    root = np.unique(np.array([bytes(r) for r in cell["root"].to_pylist()], dtype="S16"),
-                     return_inverse=True)[1] if len(node) else np.zeros(0, int)
-    sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint16).reshape(-1, _REGISTERS)
+def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) to the node's shingles, as 64-bit numbers, and their weights."""
+    for part in texts.slices(batches, 1):
+        value, weight, owner = shingles(*texts.words(*texts.utf8(part.column(1))))
+        order = np.lexsort((value, owner))
+        cut = np.searchsorted(owner[order], np.arange(part.num_rows + 1)).tolist()
+        value, weight = value[order], weight[order]
+        spans = list(zip(cut[:-1], cut[1:]))
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([weight[a:b].tobytes() for a, b in spans], pa.binary())],
+            ["node", "shingles", "weights"])
+
+
+class _Cell:
+    """The exact sets of a cell's rows, with their shingles renamed to small numbers."""
+
+    def __init__(self, cell: pa.Table) -> None:
+        sets = [np.frombuffer(x, np.uint64) for x in cell["shingles"].to_pylist()]
+        self.size = np.array([len(x) for x in sets])
+        self.known, where = np.unique(np.concatenate(sets), return_inverse=True)
+        self.start = np.cumsum(self.size) - self.size
+        self.value = where
+        self.weight = np.concatenate([np.frombuffer(x) for x in cell["weights"].to_pylist()])
+        self.total = np.add.reduceat(self.weight, self.start)
+        self.plain = np.maximum.reduceat(self.weight, self.start) == 1
+        self.mark = np.zeros(len(self.known))
+
+    def of(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = slice(self.start[k], self.start[k] + self.size[k])
+        return self.value[rows], self.weight[rows]
+
+    def near(self, k: int) -> Iterator[int]:
+        """The rows whose similarity to row ``k`` reaches the threshold. Sets without repeated
+        shingles are compared all at once; of the others those that the bound
+        ``sum(min(x / sum(x), y / sum(y)))`` lets through are computed."""
+        value, weight = self.of(k)
+        self.mark[value] = weight
+        found = self.mark[self.value]
+        common = np.add.reduceat(found > 0, self.start, dtype=np.int64)
+        plain = self.plain & self.plain[k]
+        exact = common >= THRESHOLD * (self.size + self.size[k] - common) - 1e-9
+        yield from np.flatnonzero(plain & exact)
+        if not plain.all():
+            share = np.minimum(found / self.total[k],
+                               self.weight / np.repeat(self.total, self.size))
+            bound = np.add.reduceat(share, self.start)
+            for other in np.flatnonzero(~plain & (bound >= THRESHOLD - 1e-9)):
+                if similarity((value, weight), self.of(other)) >= THRESHOLD - 1e-9:
+                    yield other
+        self.mark[value] = 0
+
+
+def _cross_links(cell: pa.Table) -> pa.Table:
+    """Links between left members and members of other components, no more than it takes to join
+    the components."""
     a, b = [], []
-    right = np.flatnonzero(~left)
-    for k in np.flatnonzero(left):
-        near = (sketch[right] == sketch[k]).mean(axis=1) >= _PASS
-        hit = right[near & (root[right] != root[k])]
-        a += [node[k]] * len(hit)
-        b += list(node[hit])
+    if cell.num_rows:
+        left = np.asarray(cell["is_left"])
+        node = cell["node"].to_pylist()
+        # A member on both sides is there twice; roots keep it from meeting itself.
+        root = np.unique(np.array([r.hex() for r in cell["root"].to_pylist()]),
+                         return_inverse=True)[1]
+        sets = _Cell(cell)
+        for k in np.flatnonzero(left):
+            for other in list(sets.near(k)):
+                if root[other] != root[k]:
+                    a.append(node[k])
+                    b.append(node[other])
+                    root[root == root[other]] = root[k]
     return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _leftovers(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs of buckets that are still in several components: members outside the
-    largest component of a bucket with all members of it."""
+def _leftovers(members: DataFrame, roots: DataFrame, nodes: DataFrame,
+               docs: DataFrame) -> DataFrame:
+    """Links in buckets that are still in several components: members outside the largest
+    component of a bucket are compared with all members of it, on their exact shingles. A cell of
+    LEFT_ROWS and RIGHT_ROWS members gives links only, never its pairs."""
     placed = members.join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
     parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     split = parts.groupBy("bucket").agg(
         F.count("*").alias("parts"), F.sum("n").alias("all"), F.max("n").alias("most"),
         F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1")
-    rows = placed.join(split, "bucket").join(nodes.select("node", "sketch"), "node")
+    rows = stage(placed.join(split, "bucket"), "split-buckets")
+    sets = stage(_texts(rows.select("node").distinct(), nodes, docs).mapInArrow(
+        _shingle_batches, "node binary, shingles binary, weights binary"), "shingles")
     lefts = F.ceil((F.col("all") - F.col("most")) / LEFT_ROWS).cast("int")
     rights = F.ceil(F.col("all") / RIGHT_ROWS).cast("int")
 
     def blocks(own: str, n: Column, other: str, m: Column, is_left: bool) -> DataFrame:
         return rows.where(F.col("root") != F.col("largest") if is_left else F.lit(True)).select(
-            "bucket", F.lit(is_left).alias("is_left"), "node", "root", "sketch",
+            "bucket", F.lit(is_left).alias("is_left"), "node", "root",
             F.pmod(F.xxhash64("node"), n).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), m - 1)).alias(other))
 
     cells = blocks("l", lefts, "r", rights, True).unionByName(blocks("r", rights, "l", lefts, False))
-    return cells.groupBy("bucket", "l", "r").applyInArrow(_cross_pairs, "a binary, b binary")
+    return cells.join(sets, "node").groupBy("bucket", "l", "r").applyInArrow(
+        _cross_links, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,10 +319,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = stage(_links(_ordered_pairs(by_hub), nodes, slim), "links")
 
     roots = stage(components(linked), "roots")
-    rest = stage(_ordered_pairs(_leftovers(members.select("bucket", "node"), roots, nodes)), "rest")
-    if not rest.isEmpty():
-        more = stage(_links(rest, nodes, slim), "links")
-        roots = stage(components(linked.unionByName(more)), "roots")
+    more = stage(_leftovers(members.select("bucket", "node"), roots, nodes, slim), "links")
+    roots = stage(components(linked.unionByName(more)), "roots")
 
     classes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(
