@@ -2,14 +2,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import AWKWARD, docs
-from tideglass.llm import tokenfiles
-from tideglass.llm.pieces import split
+from tideglass.llm import texts, tokenfiles
+from tideglass.llm.pieces import spans, split
 from tideglass.llm.tokenfiles import read_document, read_token_files, write_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,8 +72,17 @@ def test_pieces_have_the_pre_tokens_of_the_text():
     import regex
     r, pattern = random.Random(2), regex.compile(public_tokenizers.PATTERN)
     alphabet = ["a", "B", "é", "1", "'s", "'", ".", " ", " ", "  ", "\n", "\t", " ", "　", "᠎", "\x1c"]
-    for _ in range(20_000):
+    for _ in range(6_000):
         text = "".join(r.choices(alphabet, k=r.randint(0, 9)))
+        given = ["x ", text, "", " y"]  # of neighbours, nothing may stick
+        data, bounds = texts.utf8(pa.array(given))
+        starts, ends, ranges = spans(data, bounds)
+        raw = data.tobytes()
+        for k, t in enumerate(given):
+            pieces = [raw[a:b].decode() for a, b in zip(starts[ranges[k]:ranges[k + 1]],
+                                                        ends[ranges[k]:ranges[k + 1]])]
+            assert "".join(pieces) == t
+            assert [w for p in pieces for w in pattern.findall(p)] == pattern.findall(t), repr(t)
         first, *rest = split(text)
         assert [w for p in (first, *(" " + x for x in rest)) for w in pattern.findall(p)] \
             == pattern.findall(text), repr(text)

@@ -79,6 +79,18 @@ def _hash_piece(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each span of bytes; spans follow each other and do not overlap."""
+    hashes, done = np.empty(len(starts), dtype=np.uint64), 0
+    while done < len(starts):  # in pieces that end between spans, so that memory stays bounded
+        last = max(done + 1, int(np.searchsorted(ends, starts[done] + PIECE_BYTES, "right")))
+        a = starts[done]
+        hashes[done:last] = _hash_piece(
+            data[a:ends[last - 1]], starts[done:last] - a, ends[done:last] - a)
+        done = last
+    return hashes
+
+
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and the range of words of each text (as ``bounds`` for bytes)."""
     inside = np.zeros(len(data) + 2, dtype=bool)
@@ -87,14 +99,7 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     first[bounds] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | first))
     ends = np.flatnonzero(inside[:-1] & (~inside[1:] | first))
-    hashes, done = np.empty(len(starts), dtype=np.uint64), 0
-    while done < len(starts):  # in pieces that end between words, so that memory stays bounded
-        last = max(done + 1, int(np.searchsorted(ends, starts[done] + PIECE_BYTES, "right")))
-        a = starts[done]
-        hashes[done:last] = _hash_piece(
-            data[a:ends[last - 1]], starts[done:last] - a, ends[done:last] - a)
-        done = last
-    return hashes, np.searchsorted(starts, bounds)
+    return hash_spans(data, starts, ends), np.searchsorted(starts, bounds)
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

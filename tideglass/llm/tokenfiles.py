@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 from tideglass.llm import texts
 from tideglass.llm.mixing import id_hash
-from tideglass.llm.pieces import split
+from tideglass.llm.pieces import spans
 from tideglass.sources.workspace import stage
 
 END_ID = 0
@@ -34,37 +34,94 @@ SAMPLE, SAMPLE_BYTES = 500, 1 << 16
 DICTIONARY_BYTES = 1 << 15
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
-CACHED_PIECES, CACHED_CHARS = 250_000, 8_000_000
+KNOWN, KNOWN_BYTES = 2_000_000, 1 << 25  # pieces that a worker remembers, and bytes of their ids
 
 
 class Encoder:
-    """Encodes texts piece by piece, each distinct piece once while it is remembered.
+    """Encodes texts by their pieces, and each distinct piece by the tokenizer once while it is
+    remembered, by its 64-bit hash, in arrays: some 25 bytes a piece.
 
-    The strings of special tokens in a text are ordinary text.
+    For byte-level BPE without a normaliser. The strings of special tokens in a text are ordinary
+    text. With KNOWN pieces at most, two of them share a hash with a probability below 1e-6.
     """
 
     def __init__(self, definition: bytes) -> None:
         self.tokenizer = Tokenizer.from_str(definition.decode())
+        if self.tokenizer.normalizer is not None:
+            raise ValueError("texts cannot be encoded in pieces when they are normalised first")
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.chars = 0
-
-    def _ids(self, given: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(given, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        """The ids of each text as bytes, without an end id."""
-        if len(self.known) > CACHED_PIECES or self.chars > CACHED_CHARS:
-            self.known, self.chars = {}, 0
-        cut = [split(t) for t in batch]
-        new = list({p for pieces in cut for p in pieces[1:]} - self.known.keys())
-        self.known.update(zip(new, self._ids([" " + p for p in new])))
-        self.chars += sum(map(len, new))
-        firsts = self._ids([pieces[0] for pieces in cut])
-        get = self.known.__getitem__
-        return [first + b"".join(map(get, pieces[1:])) for first, pieces in zip(firsts, cut)]
+        self.line_feed = self._ids(["\n"])[0][0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)                    # ascending
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.type)                      # ids of all known pieces
+
+    def _ids(self, given: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.type) for e in
+                self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, number of ids of each). Pieces without white space but a leading space are
+        encoded as lines of one text: a line feed is a pre-token of its own between them."""
+        lines = np.array([p[1:].isprintable() and " " not in p[1:] and p[0] != "\n"
+                          for p in pieces], dtype=bool)
+        found: list[np.ndarray] = [np.zeros(0, self.type)] * len(pieces)
+        plain = np.flatnonzero(lines)
+        if len(plain):
+            ids = self._ids(["\n".join([pieces[k] for k in plain])])[0]
+            for k, part in zip(plain, np.split(ids, np.flatnonzero(ids == self.line_feed))):
+                found[k] = part[part != self.line_feed]
+        odd = np.flatnonzero(~lines)
+        for k, ids in zip(odd, self._ids([pieces[k] for k in odd])):
+            found[k] = ids
+        return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Remembers pieces, given in the order of their hashes."""
+        ids, size = self._encode(pieces)
+        at = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, ids])
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.at = np.insert(self.at, place, at)
+        self.size = np.insert(self.size, place, size)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow column of texts, one after the other, and where each text's begin
+        (one more entry for the end). NULL is empty."""
+        if len(self.hashes) > KNOWN or self.flat.nbytes > KNOWN_BYTES:
+            self._forget()
+        data, bounds = texts.utf8(column)
+        starts, ends, ranges = spans(data, bounds)
+        hashes, first, which = np.unique(
+            texts.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        new = np.flatnonzero(self.hashes[place] != hashes) if len(self.hashes) \
+            else np.arange(len(hashes))
+        if len(new):
+            raw = data.tobytes()
+            self._learn(hashes[new], [raw[a:b].decode() for a, b in zip(
+                starts[first[new]].tolist(), ends[first[new]].tolist())])
+            place = np.searchsorted(self.hashes, hashes)
+        size = self.size[place][which]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        source = np.repeat(self.at[place][which] - upto[:-1], size) + np.arange(upto[-1])
+        return self.flat[source], upto[ranges]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(definition: bytes) -> Encoder:
+    """The encoder of this worker process, which keeps what it remembers from task to task."""
+    key = hashlib.sha256(definition).hexdigest()
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(definition)
+    return _encoders[key]
 
 
 def _dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
@@ -85,12 +142,12 @@ def train_dictionary(slim: DataFrame, tokenizer) -> bytes:
                        F.col("doc_id").eqNullSafe(F.col("picked")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer.value)
+        encoder = _encoder(tokenizer.value)
         for part in texts.slices(batches, 1):
-            ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            ids, bounds = encoder.encode(part.column(1))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([x[:SAMPLE_BYTES] for x in ids], pa.binary())],
-                ["order", "ids"])
+                [part.column(0), pa.array([ids[a:b].tobytes()[:SAMPLE_BYTES] for a, b in zip(
+                    bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())], ["order", "ids"])
 
     rows = picked.select("order", "text").mapInArrow(run, "order long, ids binary") \
         .where("length(ids) >= 8").orderBy("order", "ids").limit(SAMPLE).collect()
@@ -124,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     dictionary = spark.sparkContext.broadcast(trained)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer.value)
+        encoder = _encoder(tokenizer.value)
         end = np.array([END_ID], encoder.type).tobytes()
         packer = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=_compressor_dictionary(dictionary.value), write_checksum=False)
@@ -143,9 +200,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
                 ["part", "block", "dictionary", "width", "n_tokens", "payload", "index"])
 
         for rows in texts.slices(batches, 1):
-            ids = encoder.encode([t or "" for t in rows.column(1).to_pylist()])
-            for doc_id, body in zip(rows.column(0).to_pylist(), ids):
-                body += end
+            ids, bounds = encoder.encode(rows.column(1))
+            for doc_id, a, b in zip(rows.column(0).to_pylist(), bounds[:-1].tolist(),
+                                    bounds[1:].tolist()):
+                body = ids[a:b].tobytes() + end
                 frame, n = packer.compress(body), len(body) // encoder.type.itemsize
                 frames.append(frame)
                 index.append((doc_id, offset, len(frame), n, before))
