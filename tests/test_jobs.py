@@ -8,9 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideglass.config import BACKFILL, DAILY, Gate, Tables
+from tideglass.operators.kpi import kpis
 from tideglass.operators.marts import attribution_daily, date_spine, purchase_lines, purchases_daily
+from tideglass.operators.movers import movers
+from tideglass.operators.periods import single_window
 from tideglass.operators.staging import stage_events
-from tideglass.plans.jobs import historical_insights, latest_insights, run_backfill, run_latest
+from tideglass.plans.insights import with_inputs
+from tideglass.plans.jobs import (
+    historical_insights, latest_insights, missing_insights, run_backfill, run_latest,
+)
 from tideglass.schemas import INSIGHT, RAW_EVENT
 from tideglass.sources.catalog import publish_table, publish_view
 from tideglass.sources.events import flatten_events
@@ -95,6 +101,27 @@ def test_backfill_run(spark, tables, tmp_path):
     assert run_latest(spark, here, now=NOW).count() == 160
 
 
+def test_free_windows_keep_their_movers(spark, tables):
+    purchases, attribution = (spark.read.parquet(t) for t in (tables.purchases, tables.attribution))
+    windows = [single_window(start, date(2021, 1, 9)) for start in (date(2021, 1, 6), date(2020, 12, 10))]
+    found = movers(attribution, windows, DAILY.movers)
+    inputs = with_inputs(kpis(purchases, windows), found).collect()
+    per_window = {r.kpi.window_start: len(r.top_movers) for r in inputs}
+    want = {w.window_start: found.where(F.col("window_start") == F.lit(w.window_start)).count()
+            for w in windows}
+    assert per_window == want and all(want.values())
+
+
+def test_holes_are_found_and_only_they_are_built(spark, tables):
+    purchases, attribution = (spark.read.parquet(t) for t in (tables.purchases, tables.attribution))
+    whole = historical_insights(purchases, attribution, SPAN)
+    stored = whole.where("not (insight_type = 'Total' and insight_date = '2020-12-01')") \
+        .withColumn("insight_type", F.lower("insight_type"))
+    built = missing_insights(purchases, attribution, SPAN, stored)
+    assert plain(built) == plain(whole.where("insight_type = 'Total' and insight_date = '2020-12-01'"))
+    assert built.count() == 1
+
+
 def test_generator_behind_the_gate(spark, tables, tmp_path):
     def answer(prompts):
         told = []

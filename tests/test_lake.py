@@ -8,8 +8,8 @@ from tideglass.config import Tables
 from tideglass.schemas import FLAT_EVENT
 from tideglass.sources.catalog import publish_table, publish_view, read_table
 from tideglass.sources.lake import (
-    cast_losses, list_files, load_events, reload_dates, replace_table, type_variant_rows,
-    write_by_date,
+    cast_losses, list_files, load_events, reload_dates, replace_table, skipped_files,
+    type_variant_rows, write_by_date,
 )
 from tideglass.sources.workspace import fresh_folder
 
@@ -70,9 +70,12 @@ def test_corrupt_file(spark, tmp_path):
     write_by_date(events(spark, [1, 2]), path)
     with open(os.path.join(path, "date=2020-12-02", "part-bad.parquet"), "wb") as bad:
         bad.write(b"this is no parquet file")
-    assert per_day(load_events(spark, path)) == {1: 3, 2: 3}
     with pytest.raises(Exception):
-        load_events(spark, path, on_error="abort").collect()
+        load_events(spark, path).collect()
+    assert per_day(load_events(spark, path, on_error="continue")) == {1: 3, 2: 3}
+    skipped = skipped_files(spark, path).collect()
+    assert [os.path.basename(r.path) for r in skipped] == ["part-bad.parquet"]
+    assert skipped[0].length == 23
     # a file outside the pattern is not even opened
     good = load_events(spark, path, pattern=r".*date=2020-12-01/.*", on_error="abort")
     assert per_day(good) == {1: 3}

@@ -5,7 +5,9 @@ import os
 import pytest
 
 from compare import connect, difference, spark_side, sql_side
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tideglass.plans.oracle import ORACLE
+from tideglass.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
@@ -17,14 +19,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    names, rows = spark_side(queries()[name](spark, SF_DIR))
+    names, rows = spark_side(QUERIES[name](spark, SF_DIR))
     assert rows, "no rows to compare"
-    assert difference(names, rows, *sql_side(con, oracle_sql()[name])) is None
+    assert difference(names, rows, *sql_side(con, ORACLE[name])) is None
 
 
 def test_entry_runs(spark):
@@ -40,6 +42,6 @@ JOIN_QUERIES = [
 
 @pytest.mark.parametrize("name", JOIN_QUERIES)
 def test_no_nested_loops(spark, name):
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "PythonUDF" not in plan

@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -61,6 +62,35 @@ def test_case_of_type_is_one_key(spark, tmp_path):
         ("2020-12-31", "Total", "b", T2)]
 
 
+def test_stored_lower_case_types_match(spark, tmp_path):
+    """A table written elsewhere may hold 'total' where 'Total' comes in."""
+    path = str(tmp_path / "insights")
+    conform_to_schema(rows(spark, (DAY, "total", "a"), (DAY, "week", "b"), (DAY, "Week", "c"))) \
+        .withColumn("created_at", F.when(F.col("headline") != "c", F.lit("2021-01-01"))
+                    .otherwise(F.lit("2020-01-01")).cast("timestamp_ntz")) \
+        .withColumn("insight_year", F.year("insight_date")) \
+        .write.partitionBy("insight_year").parquet(path)
+    assert content(upsert(spark, path, rows(spark, (DAY, "Total", "new")), now=T2)) == [
+        ("2020-12-31", "Total", "new", T2), ("2020-12-31", "Week", "b", datetime(2021, 1, 1))]
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    batch = spark.createDataFrame(
+        [(DAY, "Day", "a", n, [f"b{n}"]) for n in (2, 0, 1)],
+        "insight_date date, insight_type string, headline string, prompt_tokens long, bullets array<string>")
+    none = conform_to_schema(rows(spark))
+    for df in (batch, batch.orderBy("prompt_tokens"), batch.orderBy(F.desc("prompt_tokens"))):
+        kept = merge_rows(none, df.coalesce(1), now=T1).collect()
+        assert [(r.prompt_tokens, r.bullets) for r in kept] == [(0, ["b0"])]
+
+
+def test_work_folders_are_removed(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir") + "/tideglass"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    upsert(spark, str(tmp_path / "i"), rows(spark, (DAY, "Day", "a")), now=T1)
+    assert set(os.listdir(root)) == before
+
+
 def test_same_key_twice_in_one_batch(spark, tmp_path):
     batch = rows(spark, (DAY, "Day", "b"), (DAY, "day", "a"))
     assert content(upsert(spark, str(tmp_path / "i"), batch, now=T1)) == [("2020-12-31", "Day", "a", T1)]
