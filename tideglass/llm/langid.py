@@ -263,7 +263,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id",
+def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id",
                     text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text has a language, by a score of ``min_score`` or more."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
