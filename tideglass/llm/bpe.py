@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideglass.llm import texts
 from tideglass.llm.chunks import CHUNK_BYTES, by_frequency, pack, pack_words, unpack, unpack_words
-from tideglass.llm.pieces import split
+from tideglass.llm.pieces import PieceTable
 from tideglass.sources.workspace import stage
 
 REMEMBERED = 400_000  # words a task remembers the ids of
@@ -43,40 +43,41 @@ class _Words:
     def __init__(self, pattern: str) -> None:
         self.findall = regex.compile(pattern).findall
         self.number: dict[str, int] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = PieceTable(np.dtype(np.uint32), self._numbers)
         self.doc_ids: list[int | None] = []
-        self.sequences: list[bytes] = []
+        self.sequences: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
         self.bytes = 0
 
-    def _numbers(self, text: str) -> bytes:
-        number = self.number
-        return np.array([number.setdefault(w, len(number)) for w in self.findall(text)],
-                        np.uint32).tobytes()
-
-    def add(self, doc_id: int | None, text: str | None) -> None:
-        first, *rest = split(text or "")
-        known = self.pieces
-        for piece in set(rest) - known.keys():
-            known[piece] = self._numbers(" " + piece)
-        self.sequences.append(self._numbers(first) + b"".join(map(known.__getitem__, rest)))
-        self.doc_ids.append(doc_id)
-        self.bytes += len(text or "") + 8
+    def _numbers(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        number, found, size = self.number, [], []
+        for piece in pieces:
+            words = self.findall(piece)
+            found += [number.setdefault(w, len(number)) for w in words]
+            size.append(len(words))
+        return np.array(found, np.uint32), np.array(size, np.int64)
+
+    def add(self, doc_ids: list[int | None], column: pa.Array) -> None:
+        sequence, bounds = self.pieces.look_up(column)
+        self.sequences.append(sequence)
+        self.lengths.append(np.diff(bounds))
+        self.doc_ids += doc_ids
+        self.bytes += column.nbytes
 
     def rows(self, chunk: int, parts: int) -> pa.RecordBatch:
         """Part -1 has the sequences; the others have words, and their numbers by frequency."""
-        sequence, order = by_frequency(
-            np.frombuffer(b"".join(self.sequences), np.uint32), len(self.number))
+        sequence, order = by_frequency(np.concatenate(self.sequences), len(self.number))
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        dealt: dict[int, list[tuple[bytes, int]]] = {}
-        for word, k in zip((w.encode() for w in self.number), rank.tolist()):
-            dealt.setdefault(zlib.crc32(word) % parts, []).append((word, k))
-        out = [(chunk, -1, pack(sequence), None, self.doc_ids,
-                [len(s) // 4 for s in self.sequences])]
-        for part, words in sorted(dealt.items()):
-            words.sort()
-            out.append((chunk, part, pack_words([w for w, _ in words]),
-                        pack(np.array([k for _, k in words])), None, None))
+        words = [w.encode() for w in self.number]
+        part = np.array([zlib.crc32(w) % parts for w in words], np.int64)
+        by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        dealt = by_word[np.argsort(part[by_word], kind="stable")]
+        cuts = np.searchsorted(part[dealt], np.arange(parts + 1))
+        out = [(chunk, -1, pack(sequence), None, self.doc_ids, np.concatenate(self.lengths))]
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            own = dealt[cuts[p]:cuts[p + 1]]
+            out.append((chunk, p, pack_words([words[k] for k in own]), pack(rank[own]), None, None))
         types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()),
                  pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays(
@@ -88,11 +89,10 @@ def _cut(pattern: str, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, chunk = _Words(pattern), TaskContext.get().partitionId() << 32
         for part in texts.slices(batches, 1):
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                words.add(doc_id, text)
-                if words.bytes >= CHUNK_BYTES:
-                    yield words.rows(chunk, parts)
-                    words, chunk = _Words(pattern), chunk + 1
+            words.add(part.column(0).to_pylist(), part.column(1))
+            if words.bytes >= CHUNK_BYTES:
+                yield words.rows(chunk, parts)
+                words, chunk = _Words(pattern), chunk + 1
         if words.doc_ids:
             yield words.rows(chunk, parts)
 

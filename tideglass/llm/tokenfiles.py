@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 from tideglass.llm import texts
 from tideglass.llm.mixing import id_hash
-from tideglass.llm.pieces import spans
+from tideglass.llm.pieces import PieceTable
 from tideglass.sources.workspace import stage
 
 END_ID = 0
@@ -39,10 +39,10 @@ KNOWN, KNOWN_BYTES = 2_000_000, 1 << 25  # pieces that a worker remembers, and b
 
 class Encoder:
     """Encodes texts by their pieces, and each distinct piece by the tokenizer once while it is
-    remembered, by its 64-bit hash, in arrays: some 25 bytes a piece.
+    remembered (``PieceTable``).
 
     For byte-level BPE without a normaliser. The strings of special tokens in a text are ordinary
-    text. With KNOWN pieces at most, two of them share a hash with a probability below 1e-6.
+    text.
     """
 
     def __init__(self, definition: bytes) -> None:
@@ -52,12 +52,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.line_feed = self._ids(["\n"])[0][0]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)                    # ascending
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, self.type)                      # ids of all known pieces
+        self.known = PieceTable(self.type, self._encode)
 
     def _ids(self, given: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.type) for e in
@@ -79,37 +74,12 @@ class Encoder:
             found[k] = ids
         return np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Remembers pieces, given in the order of their hashes."""
-        ids, size = self._encode(pieces)
-        at = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, ids])
-        place = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, place, hashes)
-        self.at = np.insert(self.at, place, at)
-        self.size = np.insert(self.size, place, size)
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of an Arrow column of texts, one after the other, and where each text's begin
         (one more entry for the end). NULL is empty."""
-        if len(self.hashes) > KNOWN or self.flat.nbytes > KNOWN_BYTES:
-            self._forget()
-        data, bounds = texts.utf8(column)
-        starts, ends, ranges = spans(data, bounds)
-        hashes, first, which = np.unique(
-            texts.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        place = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
-        new = np.flatnonzero(self.hashes[place] != hashes) if len(self.hashes) \
-            else np.arange(len(hashes))
-        if len(new):
-            raw = data.tobytes()
-            self._learn(hashes[new], [raw[a:b].decode() for a, b in zip(
-                starts[first[new]].tolist(), ends[first[new]].tolist())])
-            place = np.searchsorted(self.hashes, hashes)
-        size = self.size[place][which]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        source = np.repeat(self.at[place][which] - upto[:-1], size) + np.arange(upto[-1])
-        return self.flat[source], upto[ranges]
+        if len(self.known.hashes) > KNOWN or self.known.flat.nbytes > KNOWN_BYTES:
+            self.known = PieceTable(self.type, self._encode)
+        return self.known.look_up(column)
 
 
 _encoders: dict[str, Encoder] = {}
