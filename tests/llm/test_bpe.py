@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -17,10 +18,12 @@ def reference():
                                  mergeable_ranks=bpe.read_ranks(f.read()))
 
 
-def test_ids_and_round_trip(spark, monkeypatch, reference):
+def test_ids_and_round_trip(spark, tmp_path, monkeypatch, reference):
     monkeypatch.setattr(bpe, "CHUNK_BYTES", 20_000)
     rows = AWKWARD + ODD + [(200 + i, f"mot{i} été " * (i % 60), "fr", "s") for i in range(300)]
-    encoded = bpe.encode(docs(spark, rows).repartition(3), RANKS, public_tokenizers.PATTERN, parts=7)
+    folder = str(tmp_path / "docs")
+    docs(spark, rows).drop("hash").repartition(3).write.parquet(folder)
+    encoded = bpe.encode(spark.read.parquet(folder), RANKS, public_tokenizers.PATTERN, parts=7)
     got = bpe.decode(encoded, RANKS).collect()
     assert sorted((r.doc_id or -1, bytes(r.decoded).decode()) for r in got) \
         == sorted((r[0] or -1, r[1] or "") for r in rows)
@@ -29,6 +32,18 @@ def test_ids_and_round_trip(spark, monkeypatch, reference):
         assert ids == reference.encode_ordinary(bytes(r.decoded).decode())
 
 
+def test_a_table_that_changes_between_readings_is_an_error():
+    words = bpe._Words(public_tokenizers.PATTERN)
+    words.add([1, 2], pa.array(["a b", "c"]))
+    other = bpe._Words(public_tokenizers.PATTERN)
+    other.add([2, 1], pa.array(["c", "a b"]))
+    chunk = bpe._Reassembly(words.rows(0, 3, False).to_pylist()[0])
+    with pytest.raises(ValueError):
+        chunk.take(other.rows(0, 3, True).to_pylist()[0])
+    with pytest.raises(ValueError):
+        list(chunk.documents())
+
+
 def test_empty_table(spark):
     assert bpe.encode(docs(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 

@@ -1,10 +1,12 @@
 """Byte-level BPE by a global shuffle of distinct words (operator 10).
 
-1. Texts are cut into pre-tokens, whose positions are kept as sequences of word numbers a chunk
-   (see ``chunks``); the distinct words of each chunk are dealt by hash into parts. Both are
-   written once, so that a lost executor cannot change what a chunk holds.
+1. Texts are cut into pre-tokens; the distinct words of each chunk (see ``chunks``) are dealt by
+   hash into parts.
 2. Each part encodes each of its distinct words once and answers every chunk.
-3. The answers go back to their chunk, where they are put in the positions of the words.
+3. The positions are kept as sequences of word numbers a chunk, made when the table is read again:
+   that costs less than storing them. The answers go to their chunk and take the positions of the
+   words. Both sides carry a digest of the chunk, so a table that does not give the same rows in
+   the same order again, after a lost executor or otherwise, is an error and never a wrong result.
 
 Decoding joins ids with the table of token bytes, which has one row a rank.
 """
@@ -12,6 +14,7 @@ Decoding joins ids with the table of token bytes, which has one row a rank.
 from __future__ import annotations
 
 import base64
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 from tideglass.llm import texts
 from tideglass.llm.chunks import CHUNK_BYTES, by_frequency, pack, pack_words, unpack, unpack_words
 from tideglass.llm.pieces import PieceTable
-from tideglass.sources.workspace import stage
 
 REMEMBERED = 400_000  # words a task remembers the ids of
-_CHUNK = "chunk long, part int, payload binary, ranks binary, doc_ids array<long>, lengths array<int>"
+_CHUNK = ("chunk long, check long, part int, payload binary, ranks binary, doc_ids array<long>, "
+          "lengths array<int>")
 
 
 def read_ranks(definition: bytes) -> dict[bytes, int]:
@@ -64,82 +67,101 @@ class _Words:
         self.doc_ids += doc_ids
         self.bytes += column.nbytes
 
-    def rows(self, chunk: int, parts: int) -> pa.RecordBatch:
-        """Part -1 has the sequences; the others have words, and their numbers by frequency."""
+    def _check(self, sequence: np.ndarray, words: list[bytes]) -> int:
+        """What the chunk holds, as a number: the two readings of a table must agree in it."""
+        digest = hashlib.blake2b(sequence.tobytes(), digest_size=8)
+        digest.update(b"\0".join(words))
+        digest.update(repr(self.doc_ids).encode())
+        return int.from_bytes(digest.digest(), "little", signed=True)
+
+    def rows(self, chunk: int, parts: int, of_words: bool) -> pa.RecordBatch:
+        """Either a row of words for each part, or, as part -1, the sequences of numbers by
+        frequency, and the numbers of the words in the order of the parts."""
         sequence, order = by_frequency(np.concatenate(self.sequences), len(self.number))
-        rank = np.empty(len(order), np.uint32)
-        rank[order] = np.arange(len(order), dtype=np.uint32)
         words = [w.encode() for w in self.number]
+        check = self._check(sequence, words)
         part = np.array([zlib.crc32(w) % parts for w in words], np.int64)
         by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
         dealt = by_word[np.argsort(part[by_word], kind="stable")]
-        cuts = np.searchsorted(part[dealt], np.arange(parts + 1))
-        out = [(chunk, -1, pack(sequence), None, self.doc_ids, np.concatenate(self.lengths))]
-        for p in np.flatnonzero(np.diff(cuts)).tolist():
-            own = dealt[cuts[p]:cuts[p + 1]]
-            out.append((chunk, p, pack_words([words[k] for k in own]), pack(rank[own]), None, None))
-        types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()),
-                 pa.list_(pa.int32()))
+        if of_words:
+            cuts = np.searchsorted(part[dealt], np.arange(parts + 1))
+            out = [(chunk, check, p, pack_words([words[k] for k in dealt[cuts[p]:cuts[p + 1]]]),
+                    None, None, None) for p in np.flatnonzero(np.diff(cuts)).tolist()]
+        else:
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            out = [(chunk, check, -1, pack(sequence), pack(rank[dealt]), self.doc_ids,
+                    np.concatenate(self.lengths))]
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(),
+                 pa.list_(pa.int64()), pa.list_(pa.int32()))
+        columns = list(zip(*out)) or [[]] * len(types)
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out), types)],
-            ["chunk", "part", "payload", "ranks", "doc_ids", "lengths"])
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            ["chunk", "check", "part", "payload", "ranks", "doc_ids", "lengths"])
 
 
-def _cut(pattern: str, parts: int):
+def _cut(pattern: str, parts: int, of_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, chunk = _Words(pattern), TaskContext.get().partitionId() << 32
         for part in texts.slices(batches, 1):
             words.add(part.column(0).to_pylist(), part.column(1))
             if words.bytes >= CHUNK_BYTES:
-                yield words.rows(chunk, parts)
+                yield words.rows(chunk, parts, of_words)
                 words, chunk = _Words(pattern), chunk + 1
         if words.doc_ids:
-            yield words.rows(chunk, parts)
+            yield words.rows(chunk, parts, of_words)
 
     return run
 
 
 def _encode(pattern: str, definition):
-    """Rows of words become rows of their ids: how many each word has, then all ids in order."""
+    """Rows of words become rows of their ids: how many words, how many ids each, and all ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
                                     mergeable_ranks=read_ranks(definition.value))
         known: dict[bytes, list[int]] = {}
         for batch in batches:
             for k in range(batch.num_rows):
-                words = unpack_words(batch.column(2)[k].as_py())
+                words = unpack_words(batch.column(3)[k].as_py())
                 if len(known) > REMEMBERED:
                     known = {}
                 for w in words:
                     if w not in known:
                         known[w] = encoder.encode_ordinary(w.decode())
                 ids = [known[w] for w in words]
-                flat = [len(i) for i in ids] + [x for i in ids for x in i]
+                flat = [len(ids), *(len(i) for i in ids), *(x for i in ids for x in i)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(k, 1), batch.column(1).slice(k, 1),
-                     pa.array([pack(np.array(flat))], pa.binary()), batch.column(3).slice(k, 1)],
-                    ["chunk", "part", "payload", "ranks"])
+                    [*(batch.column(c).slice(k, 1) for c in range(3)),
+                     pa.array([pack(np.array(flat))], pa.binary())],
+                    ["chunk", "check", "part", "payload"])
 
     return run
 
 
 class _Reassembly:
-    """A chunk's sequences, and the ids of its words as they come in."""
+    """A chunk's sequences, and the ids of its words as they come in, part by part."""
 
     def __init__(self, row: dict) -> None:
-        self.doc_ids, self.lengths = row["doc_ids"], row["lengths"]
-        self.sequence = unpack(row["payload"])
-        self.ids: list[bytes] = [b""] * (int(self.sequence.max(initial=0)) + 1)
-
-    def take(self, payload: bytes, ranks: bytes) -> None:
-        ranks, flat = unpack(ranks), unpack(payload)
-        data, ends = flat[len(ranks):].tobytes(), np.cumsum(flat[:len(ranks)], dtype=np.int64) * 4
+        self.doc_ids, self.lengths, self.check = row["doc_ids"], row["lengths"], row["check"]
+        self.sequence, self.ranks = unpack(row["payload"]), unpack(row["ranks"]).tolist()
+        self.ids: list[bytes] = [b""] * len(self.ranks)
+        self.known = 0
+
+    def take(self, row: dict) -> None:
+        if row["check"] != self.check:
+            raise ValueError("the table gave other rows, or another order, when read again")
+        flat = unpack(row["payload"])
+        n = int(flat[0])
+        data, ends = flat[n + 1:].tobytes(), np.cumsum(flat[1:n + 1], dtype=np.int64) * 4
         at = 0
-        for rank, end in zip(ranks.tolist(), ends.tolist()):
+        for rank, end in zip(self.ranks[self.known:self.known + n], ends.tolist()):
             self.ids[rank] = data[at:end]
             at = end
+        self.known += n
 
     def documents(self) -> Iterator[tuple[int | None, bytes]]:
+        if self.known != len(self.ids):
+            raise ValueError("the table gave other rows, or another order, when read again")
         at, get = 0, self.ids.__getitem__
         for doc_id, n in zip(self.doc_ids, self.lengths):
             yield doc_id, b"".join(map(get, self.sequence[at:at + n].tolist()))
@@ -172,7 +194,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield from done(current)
                 current = _Reassembly(row)
             else:
-                current.take(row["payload"], row["ranks"])
+                current.take(row)
     if current:
         yield from done(current)
 
@@ -183,7 +205,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     Each match of ``pattern`` is encoded by itself; there are no special tokens. NULL and empty
     texts have no ids. Repeated rows are encoded each. An empty table gives no rows. Other columns
-    of ``docs`` play no part. ``parts`` is how many ways distinct words are dealt: four times the
+    of ``docs`` play no part. ``docs`` is read twice and must give its rows in the same order, as
+    files do; stage what comes out of a shuffle. ``parts`` is how many ways distinct words are dealt: four times the
     shuffle partitions unless given. The driver reads the rank file, whose size is fixed.
     """
     spark = docs.sparkSession
@@ -191,13 +214,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     with open(ranks_path, "rb") as f:
         definition = spark.sparkContext.broadcast(f.read())
-    cut = stage(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_cut(pattern, parts), _CHUNK), "bpe-chunks")
-    answers = cut.where("part >= 0").select("chunk", "part", "payload", "ranks").repartition("part") \
-        .mapInArrow(_encode(pattern, definition), "chunk long, part int, payload binary, ranks binary")
-    back = cut.where("part = -1").unionByName(answers, allowMissingColumns=True)
-    return back.repartition("chunk").sortWithinPartitions("chunk", "part") \
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    words = slim.mapInArrow(_cut(pattern, parts, True), _CHUNK) \
+        .select("chunk", "check", "part", "payload")
+    answers = words.repartition("part").mapInArrow(
+        _encode(pattern, definition), "chunk long, check long, part int, payload binary")
+    sequences = slim.mapInArrow(_cut(pattern, parts, False), _CHUNK)
+    return sequences.unionByName(answers, allowMissingColumns=True) \
+        .repartition("chunk").sortWithinPartitions("chunk", "part") \
         .mapInArrow(_assemble, "doc_id long, ids binary")
 
 
