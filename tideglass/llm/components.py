@@ -26,8 +26,9 @@ def _toward_least(edges: DataFrame, larger_only: bool) -> DataFrame:
     moved = joined.select(F.col("b").alias("a"), F.col("low").alias("b"))
     if not larger_only:
         moved = moved.unionByName(least.select(F.col("of").alias("a"), F.col("low").alias("b")))
-    return moved.where("a != b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    moved = moved.where("a != b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return moved if larger_only else moved.distinct()  # once a round is enough
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -320,7 +320,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     roots = stage(components(linked), "roots")
     more = stage(_leftovers(members.select("bucket", "node"), roots, nodes, slim), "links")
-    roots = stage(components(linked.unionByName(more)), "roots")
+    # What is linked already is a star around its root, so few rounds remain.
+    stars = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = stage(components(stars.unionByName(more)), "roots")
 
     classes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(
