@@ -26,10 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tideglass.llm import texts
-from tideglass.llm.chunks import CHUNK_BYTES, by_frequency, pack, pack_words, unpack, unpack_words
+from tideglass.llm.chunks import by_frequency, pack, pack_words, unpack, unpack_words
 from tideglass.llm.pieces import PieceTable
 
-REMEMBERED = 400_000  # words a task remembers the ids of
+CHUNK_BYTES = 10_000_000  # of text in a chunk, whose words and ids a task holds at once
+REMEMBERED = 200_000  # words a task remembers the ids of
 _CHUNK = ("chunk long, check long, part int, payload binary, ranks binary, doc_ids array<long>, "
           "lengths array<int>")
 
