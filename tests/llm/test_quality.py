@@ -41,5 +41,26 @@ def test_fences_follow_the_group(spark):
     assert all(kept.values())
 
 
+def test_rare_repeats_fall_outside_a_clean_group(spark):
+    """A quarter of repeated words, or half of the lines repeated, where no other document has any."""
+    def text(i, n=64):
+        return "\n".join(" ".join(f"w{i * 64 + 8 * j + k}" for k in range(8))
+                         for j in range(n // 8))
+
+    once = [" ".join(f"x{50_000 + 4 * j + k}" for k in range(4)) for j in range(6)]
+    rows = [(i, text(100 + i), "en", "prose") for i in range(300)]
+    rows += [(5000, text(500, 48) + "\n" + " ".join(text(500, 8).split()) + "\n" + text(501, 8),
+              "en", "prose"),
+             (5001, "\n".join(x for line in once for x in (line, line)), "en", "prose")]
+    got = {r.doc_id: r for r in quality_rules(docs(spark, rows)).collect()}
+    repeats, lines = got.pop(5000), got.pop(5001)
+    assert (repeats.n_repeat_words, repeats.n_words, repeats.base_failed) == (16, 64, False)
+    assert (lines.n_dup_lines, lines.n_lines, lines.base_failed) == (6, 12, False)
+    assert not repeats.kept and not lines.kept
+    assert all(r.kept for r in got.values())
+    old = {r.doc_id: r.kept for r in quality_rules(docs(spark, rows), floors=True).collect()}
+    assert all(old.values())  # with floors, both pass
+
+
 def test_empty_table(spark):
     assert quality_rules(docs(spark, [])).count() == 0

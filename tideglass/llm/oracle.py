@@ -13,13 +13,38 @@ _RATIOS = {
 _GAMMA = 1.01 / 0.99
 
 
-def _quality() -> str:
+def _quality(floors: bool) -> str:
     values = "\nunion all ".join(
         f"select lang, source, '{m}' as metric, case when {b} > 0 then {a} / {b} else 0.0 end::double "
         f"as x, {least}::double as least from counts where not base_failed"
         for m, (a, b, least, _) in _RATIOS.items())
 
+    def whole_fences(keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return f"""
+        select {by}n_rows, metric,
+               q1 - 3 * case when q3 - q1 > 0.02::double * q3 then q3 - q1
+                             else greatest(0.02::double * q3, least(most, q1 - p1)) end as low,
+               q3 + 3 * case when q3 - q1 > 0.02::double * q3 then q3 - q1
+                             else greatest(0.02::double * q3, least(most, p99 - q3)) end as high
+        from (
+          select {by}metric, any_value(least) as most, max(n_rows) as n_rows,
+                 min(case when upto >= 0.25 * n_rows then x end) as q1,
+                 min(case when upto >= 0.75 * n_rows then x end) as q3,
+                 min(case when 100 * upto > n_rows then x end) as p1,
+                 min(case when 100 * upto >= 99 * n_rows then x end) as p99
+          from (
+            select {by}metric, least, sum(n) over (partition by {by}metric order by bucket) as upto,
+                   sum(n) over (partition by {by}metric) as n_rows,
+                   case when bucket = -100000 then 0.0
+                        else 2 * pow({_GAMMA!r}::double, bucket) / ({_GAMMA!r}::double + 1) end as x
+            from (select {by}metric, any_value(least) as least, bucket, count(*) as n
+                  from buckets group by {by}metric, bucket))
+          group by {by}metric)"""
+
     def fences(keys: str) -> str:
+        if not floors:
+            return whole_fences(keys)
         by = f"{keys}, " if keys else ""
         return f"""
         select {by}max(n_rows) as n_rows, metric,
@@ -166,6 +191,7 @@ from texts left join sums using (d)"""
 ORACLE: dict[str, str] = {
     "op1_maxscore": _TOP,
     "op2_lm_scores": _SCORES,
-    "op3_quality_rules": _quality(),
+    "op3_quality_fences": _quality(floors=False),
+    "op3_quality_rules": _quality(floors=True),
     "op9_mix_sources": _MIX,
 }

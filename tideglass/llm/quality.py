@@ -5,11 +5,14 @@
    (relative error ``ALPHA``). Such sketches merge by adding counts, so that they are built by
    one partial aggregation, and a language's or the whole corpus' sketch is the sum of its parts.
 3. From the quartiles come fences, ``SPREAD`` times the quartile distance outside, which take the
-   place of fixed cutoffs. The slim rows are joined with them and judged.
-
-A junk share of up to a quarter of a group does not move its quartiles to the junk's side, and a
-group without junk loses nothing, as no fixed share is cut. The sketches are of the documents
-that pass the base rules.
+   place of fixed cutoffs. Where the quartiles coincide, as for a ratio that most documents have
+   at 0, the width is the distance to the group's outer percentile instead, and at most a bound a
+   metric: what is rare in a group is out, what one document in a hundred has is its habit. The
+   bound is for junk of more than a hundredth, whose own value would else be the width. The slim
+   rows are joined with the fences and judged.
+
+A junk share of up to a quarter of a group does not move its quartiles to the junk's side, and no
+fixed share is cut. The sketches are of the documents that pass the base rules.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ SMALLEST = 1e-4          # smaller values share the bucket of zero
 ZERO_BUCKET = -100_000
 SPREAD = 3.0
 GROUP_ROWS = 100         # smaller groups are judged by their language, or else by the corpus
-#: Per metric: numerator, denominator, least quartile distance, whether low values fail too.
+#: Per metric: numerator, denominator, most of a width where the quartiles coincide (with
+#: ``floors`` the least of any width), whether low values fail too.
 METRICS = {
     "symbols": ("n_symbols", "n_words", 0.05, False),
     "dup_lines": ("n_dup_lines", "n_lines", 0.2, False),
@@ -128,7 +132,7 @@ def sketch(measured: DataFrame) -> DataFrame:
     )
 
 
-def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
+def fences(sketches: DataFrame, keys: list[str], floors: bool = False) -> DataFrame:
     """Merges the sketches by ``keys``; a row for each: rows, and low and high of each metric."""
     merged = sketches.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")
@@ -137,17 +141,26 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
     ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))) \
         .withColumn("rows", F.sum("n").over(group)).withColumn("value", value)
 
-    def quantile(q: float) -> Column:
-        return F.min(F.when(F.col("upto") >= q * F.col("rows"), F.col("value")))
+    def first(reached: Column) -> Column:
+        return F.min(F.when(reached, F.col("value")))
 
+    upto, rows = F.col("upto"), F.col("rows")
     quartiles = ranked.groupBy(*keys, "metric").agg(
-        F.max("rows").alias("rows"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
-    least = F.element_at(
+        F.max("rows").alias("rows"), first(upto >= 0.25 * rows).alias("q1"),
+        first(upto >= 0.75 * rows).alias("q3"), first(100 * upto > rows).alias("p1"),
+        first(100 * upto >= 99 * rows).alias("p99"))
+    bound = F.element_at(
         F.create_map(*[x for m, v in METRICS.items() for x in (F.lit(m), F.lit(v[2]))]),
         F.col("metric"))
-    wide = F.lit(SPREAD) * F.greatest(F.col("q3") - F.col("q1"), least)
-    return quartiles.withColumn("low", F.col("q1") - wide).withColumn(
-        "high", F.col("q3") + wide
+    apart, error = F.col("q3") - F.col("q1"), F.lit(2 * ALPHA) * F.col("q3")
+
+    def wide(tail: Column) -> Column:
+        width = F.greatest(apart, bound) if floors else F.when(apart > error, apart).otherwise(
+            F.greatest(error, F.least(bound, tail)))
+        return F.lit(SPREAD) * width
+
+    return quartiles.withColumn("low", F.col("q1") - wide(F.col("q1") - F.col("p1"))).withColumn(
+        "high", F.col("q3") + wide(F.col("p99") - F.col("q3"))
     ).groupBy(*keys).agg(
         F.max("rows").alias("rows"),
         *[F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}")
@@ -155,7 +168,8 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+                  lang_col: str = "lang", source_col: str = "source",
+                  floors: bool = False) -> DataFrame:
     """Counts and verdict of every document: doc_id, COUNTS, ``base_failed``, ``kept``.
 
     ``kept`` is false for base failures and for documents with a metric outside the fences of
@@ -163,14 +177,15 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     its language, a small language those of the corpus. NULL language or source is a value like
     any other. NULL and empty texts have no words and fail the base rule. Repeated rows are judged
     and returned each. An empty table gives no rows. Other columns of ``docs`` play no part.
+    ``floors`` gives the older verdicts, whose widths have a constant floor a metric.
     """
     measured = stage(measure(docs, id_col, text_col, lang_col, source_col), "quality")
     sketches = stage(sketch(measured), "quality-sketch")
 
     limits = [f"{m}_{c}" for m in METRICS for c in ("low", "high")]
-    by_source = fences(sketches, ["lang", "source"])
-    by_lang = fences(sketches, ["lang"])
-    overall = fences(sketches, [])
+    by_source = fences(sketches, ["lang", "source"], floors)
+    by_lang = fences(sketches, ["lang"], floors)
+    overall = fences(sketches, [], floors)
 
     def renamed(df: DataFrame, tag: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])

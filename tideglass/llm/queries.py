@@ -38,8 +38,17 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _verdicts(quality_rules(_table(spark, sf_dir, "documents")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_table(spark, sf_dir, "documents")).select(
+    """The older verdicts, as the query's SQL has them."""
+    return _verdicts(quality_rules(_table(spark, sf_dir, "documents"), floors=True))
+
+
+def _verdicts(judged: DataFrame) -> DataFrame:
+    return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
