@@ -42,6 +42,13 @@ def test_same_as_counting_by_hand(spark, monkeypatch, order):
         == brute(rows, order)
 
 
+def test_trigrams_count_unless_told_otherwise(spark):
+    """Two words of context tell what follows, where one word leaves it open."""
+    rows = [(1, "a b c", "en", "s"), (2, "x b d", "en", "s"), (3, "a b c", "en", "s")]
+    scores = {r.doc_id: r.units for r in score_documents(docs(spark, rows)).collect()}
+    assert sorted((i, 3, u) for i, u in scores.items()) == brute(rows, 3) != brute(rows, 2)
+
+
 def test_long_texts_and_empty_tables(spark):
     got = {r.doc_id: r for r in score_documents(docs(spark, AWKWARD)).collect()}
     assert got[8].n_words == 40_000 and got[9].n_words == 1 and got[1].units == 0

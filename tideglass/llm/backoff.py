@@ -24,7 +24,7 @@ from tideglass.llm import texts
 from tideglass.llm.chunks import CHUNK_BYTES, by_frequency, pack, unpack
 from tideglass.sources.workspace import stage
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 UNIT = 1_000_000  # scores are summed as whole millionths of log10, so in any order alike
 

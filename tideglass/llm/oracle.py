@@ -188,8 +188,49 @@ select doc_id, len(w)::bigint as n_words, coalesce(units, 0)::bigint as units,
        coalesce(units, 0) / 1000000::double as log10_score
 from texts left join sums using (d)"""
 
+_TRIGRAM_SCORES = rf"""
+with texts as (select row_number() over () as d, doc_id, {_WORDS} as w from documents),
+words as (select d, unnest(w) as c, generate_subscripts(w, 1) as i from texts),
+grams as (select d, i, c, lag(c) over (partition by d order by i) as b,
+                 lag(c, 2) over (partition by d order by i) as a from words),
+own1 as (select d, c, count(*) as n from grams group by d, c),
+all1 as (select c, sum(n) as n from own1 group by c),
+own2 as (select d, b, c, count(*) as n from grams where b is not null group by d, b, c),
+all2 as (select b, c, sum(n) as n from own2 group by b, c),
+own3 as (select d, a, b, c, count(*) as n from grams where a is not null group by d, a, b, c),
+all3 as (select a, b, c, sum(n) as n from own3 group by a, b, c),
+sizes as (select d, count(*) as n, sum(count(*)) over () as total from words group by d),
+joined as (
+  select g.d, g.a, g.b, a1.n - o1.n as n1, ax.n - ox.n as context1, a2.n - o2.n as n2,
+         ay.n - oy.n as context2, a3.n - o3.n as n3, greatest(s.total - s.n, 1) as rest
+  from grams g join sizes s using (d)
+  join own1 o1 on o1.d = g.d and o1.c = g.c join all1 a1 on a1.c = g.c
+  left join own1 ox on ox.d = g.d and ox.c = g.b left join all1 ax on ax.c = g.b
+  left join own2 o2 on o2.d = g.d and o2.b = g.b and o2.c = g.c
+  left join all2 a2 on a2.b = g.b and a2.c = g.c
+  left join own2 oy on oy.d = g.d and oy.b = g.a and oy.c = g.b
+  left join all2 ay on ay.b = g.a and ay.c = g.b
+  left join own3 o3 on o3.d = g.d and o3.a = g.a and o3.b = g.b and o3.c = g.c
+  left join all3 a3 on a3.a = g.a and a3.b = g.b and a3.c = g.c),
+unigrams as (
+  select *, greatest(n1::double, 0.4::double) / rest::double as share1 from joined),
+bigrams as (
+  select *, case when n2 > 0 then n2::double / context1::double
+                 when b is not null then 0.4::double * share1 else share1 end as share2
+  from unigrams),
+trigrams as (
+  select d, case when n3 > 0 then n3::double / context2::double
+                 when a is not null then 0.4::double * share2 else share2 end as share
+  from bigrams),
+sums as (select d, sum(floor(log10(share) * 1000000 + 0.5)::bigint)::bigint as units
+         from trigrams group by d)
+select doc_id, len(w)::bigint as n_words, coalesce(units, 0)::bigint as units,
+       coalesce(units, 0) / 1000000::double as log10_score
+from texts left join sums using (d)"""
+
 ORACLE: dict[str, str] = {
     "op1_maxscore": _TOP,
+    "op2_lm_scores_trigram": _TRIGRAM_SCORES,
     "op2_lm_scores": _SCORES,
     "op3_quality_fences": _quality(floors=False),
     "op3_quality_rules": _quality(floors=True),
