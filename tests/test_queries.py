@@ -6,6 +6,7 @@ import pytest
 
 from compare import connect, difference, spark_side, sql_side
 from __spark_entry__ import entry
+from tideglass.plans.driver_tables import order_span
 from tideglass.plans.oracle import ORACLE
 from tideglass.plans.queries import QUERIES
 
@@ -33,6 +34,14 @@ def test_entry_runs(spark):
     assert entry(spark).columns[:3] == ["insight_date", "insight_type", "rank"]
 
 
+def test_backfill_stores_every_date_of_the_span(spark):
+    first, last = order_span(spark, SF_DIR)
+    stored = QUERIES["run_backfill_whole"](spark, SF_DIR).select("insight_date", "insight_type")
+    days = stored.distinct().groupBy("insight_date").count().collect()
+    assert {r["count"] for r in days} == {4} and len(days) == (last - first).days + 1
+    assert min(r.insight_date for r in days) == first
+
+
 JOIN_QUERIES = [
     "flatten_keyjoin", "fct_attribution_daily", "star_channel", "kpi_backfill",
     "movers_fulljoin", "movers_backfill", "channel_trends", "period_over_period",

@@ -685,6 +685,8 @@ from kpis k left join named n
     "insights_backfill": f"with {_BACKFILL},{_template('kpis')} {_whole(_BACKFILL_CARD)}",
     "run_latest_stored": f"""with {_DAILY},{_template('kpis')}
 {_whole(_DAILY_CARD, "timestamp '2024-01-02'")}""",
+    "run_backfill_whole": f"""with {_BACKFILL},{_template('kpis')}
+{_whole(_BACKFILL_CARD, "timestamp '2024-01-01'")}""",
     "run_backfill_stored": f"""with {_BACKFILL},{_template('kpis')}
 {_whole(_BACKFILL_CARD, "timestamp '2024-01-01'", "where t.insight_date >= date '1998-01-01'")}""",
     "insight_holes": f"""with {_BACKFILL},{_template('kpis')}

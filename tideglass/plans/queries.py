@@ -623,6 +623,11 @@ def run_latest_stored(spark: SparkSession, sf: str) -> DataFrame:
     return _whole(run_latest(spark, named, now=SECOND_RUN))
 
 
+def run_backfill_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The historical job over its whole span, as its table has it afterwards."""
+    return _whole(run_backfill(spark, _job_tables(spark, sf), now=FIRST_RUN))
+
+
 def run_backfill_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The historical job from 1998 on, as its table has it afterwards."""
     return _whole(run_backfill(spark, _job_tables(spark, sf), start=date(1998, 1, 1), now=FIRST_RUN))
@@ -777,6 +782,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_text": prompt_text,
     "generated_insights": generated_insights,
     "run_latest_stored": run_latest_stored,
+    "run_backfill_whole": run_backfill_whole,
     "run_backfill_stored": run_backfill_stored,
     "insight_holes": insight_holes,
     "free_window": free_window,
