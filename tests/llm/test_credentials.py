@@ -62,6 +62,17 @@ def test_unlabelled_secrets_of_a_known_format_are_found(spark):
     assert got[2] == got[3] == [] and c.find_secrets(docs(spark, rows)).count() == len(rows)
 
 
+def test_what_base_spans_leave_of_a_run_is_a_candidate():
+    rest, access, long = "x9" * 20, "AKIA" + "Z1" * 8, "ab1" * 10
+    for text, want in (
+            (f"see {access}/{rest} end", [f"/{rest}"]), (f"Z-{long}-{rest}", [f"-{rest}"]),
+            (f"G7k{'Q' * 4}_{long}+{rest}", [f"G7k{'Q' * 4}_", f"+{rest}"]),
+            ("no abcdef nor a1b2c nor 123456 but a1b2c3", ["a1b2c3"]), (f"token={rest}", []),
+            (f"{access} {long} {rest}", [rest])):
+        base = c.base_spans(text)
+        assert [text[a:b] for a, b, _ in c.candidates(text, base)] == want
+
+
 def test_empty_table_and_masking(spark):
     assert c.find_secrets(docs(spark, [])).count() == 0
     rows = [(1, "a token=abcdefgh, b", "en", "s"), (2, None, None, None), (3, "", "x", "y"),

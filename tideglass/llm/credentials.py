@@ -2,8 +2,9 @@
 
 Three patterns give the base spans. Their values are labelled credentials: from a bounded sample
 of SAMPLE distinct values a kind, the driver infers a probabilistic automaton a kind by merging
-the statistically compatible states of their prefix tree (Hoeffding bound). Every other long run
-of credential characters that mixes letters and digits is a candidate; it is a secret of kind
+the statistically compatible states of their prefix tree (Hoeffding bound). Every other run
+of credential characters that mixes letters and digits, what base spans leave of a run included,
+is a candidate from the least length of a labelled value on; it is a secret of kind
 ``format`` if the best automaton gives it MIN_GAIN bits a character more than a chain of symbol
 pairs counted over all candidates of the corpus.
 """
@@ -38,7 +39,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run, so the same as dropping short runs
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: A maximal run with a digit.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+")
 _DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 _CLASS = str.maketrans({
     **dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "a"),
@@ -56,13 +58,33 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """(start, end, symbol classes) of the runs that no base span touches."""
+def _rest(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of what the base spans leave of each run with a digit."""
+    cover: list[list[int]] = []
+    for a, _, b, _ in base:
+        if cover and a <= cover[-1][1]:
+            cover[-1][1] = max(cover[-1][1], b)
+        else:
+            cover.append([a, b])
+    k = 0
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if _DIGIT.search(run) and _LETTER.search(run) and not any(
-                a < m.end() and m.start() < b for a, _, b, _ in base):
-            yield m.start(), m.end(), run.translate(_CLASS)
+        at, end = m.span()
+        while k < len(cover) and cover[k][0] < end:
+            if cover[k][1] > at:
+                yield at, cover[k][0]
+                at = cover[k][1]
+            if at > end:
+                break  # the span goes on behind this run
+            k += 1
+        yield at, end
+
+
+def candidates(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, symbol classes) of the runs, or parts of runs, outside all base spans."""
+    for a, b in _rest(text, base):
+        run = text[a:b] if b - a >= ASSIGN_VALUE else ""
+        if _DIGIT.search(run) and _LETTER.search(run):
+            yield a, b, run.translate(_CLASS)
 
 
 @dataclass
@@ -233,7 +255,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``grammar`` is learnt from ``docs`` unless given. NULL and empty texts have no spans.
     Repeated rows are scanned each. Spans of different kinds may overlap; a ``format`` span
-    touches no other. Other columns of ``docs`` play no part.
+    overlaps no other. Other columns of ``docs`` play no part.
     """
     shared = docs.sparkSession.sparkContext.broadcast(grammar or learn(docs, text_col))
 
