@@ -25,6 +25,15 @@ def test_blocks_of_broken_and_whole_markup():
     assert blocks("<title>t</title><textarea>x") == []
 
 
+def test_drawings_and_hidden_blocks_take_no_other_text():
+    lost = "<article><p>lost text</p></article>"
+    assert blocks(f'<body><svg class="i"/>{lost}</body>') == ["lost text"]
+    assert blocks(f"<body><svg><path d=x>{lost}</body>") == ["lost text"]
+    assert blocks("a<svg><title>t</title><text>x</text></svg>b<p>c <svg/>d") == ["ab", "c d"]
+    assert blocks(f"<noscript><p>one</p></noscript>{lost}<template>two") == ["one", "lost text", "two"]
+    assert blocks("<p>a<noscript><img src=x></noscript>b") == ["a", "b"]
+
+
 def test_held_out_layouts(field):
     pages = labelled_pages(150, seed=77)
     wrong = sum(a != b for page, y in pages for a, b in zip(field.decode(page), y))

@@ -9,11 +9,11 @@ from html import unescape
 # Element names of HTML.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details
     dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup
-    hr html legend li main menu nav ol optgroup option p pre search section select summary table
-    tbody td tfoot th thead tr ul""".split())
+    hr html legend li main menu nav noscript ol optgroup option p pre search section select summary
+    table tbody td template tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW_TAGS = ("script", "style", "title", "textarea", "template", "noscript", "iframe", "svg")
-CLOSES_P = BLOCK_TAGS - {"button", "option", "optgroup", "select"}
+RAW_TAGS = ("script", "style", "title", "textarea", "iframe")
+CLOSES_P = BLOCK_TAGS - {"button", "noscript", "option", "optgroup", "select", "template"}
 CLOSES_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
                "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
@@ -46,14 +46,15 @@ def _name_parts(attrs: str) -> tuple[str, ...]:
 def leaf_blocks(html: str | None) -> list[Block]:
     """The blocks of a page in order; white space inside is one space, empty ones are left out.
 
-    Scripts, styles, titles and the like, and HTML comments, hold no text. Character references
+    Scripts, styles, titles and the like, HTML comments and drawings (``svg``) hold no text; a
+    drawing ends at the latest where a block begins. Character references
     are decoded. Missing and stray end tags, unclosed comments and a page cut off anywhere are
     borne. Every text of the page is in exactly one block.
     """
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
-    linked, links, at = 0, 0, None
+    linked, links, drawings, at = 0, 0, 0, None
 
     def flush() -> None:
         nonlocal linked, at
@@ -65,12 +66,15 @@ def leaf_blocks(html: str | None) -> list[Block]:
         linked, at = 0, None
 
     def pop(k: int) -> None:
-        nonlocal links
+        nonlocal links, drawings
+        drawings -= sum(tag == "svg" for tag, _ in stack[k:])
         links -= sum(tag == "a" for tag, _ in stack[k:])
         del stack[k:]
 
     for m in _TOKEN.finditer(html or ""):
         if text := m["text"]:
+            if drawings:
+                continue
             if at is None and not text.isspace():
                 at = tuple(stack)
             text = unescape(text) if "&" in text else text
@@ -93,6 +97,8 @@ def leaf_blocks(html: str | None) -> list[Block]:
             parts.append(" ")
         if tag in BLOCK_TAGS:
             flush()
+            if drawings:
+                pop(next(k for k, (name, _) in enumerate(stack) if name == "svg"))
             if tag in CLOSES_P:
                 _close(stack, ("p",), (), pop)
             if tag in CLOSES_SAME:
@@ -102,6 +108,7 @@ def leaf_blocks(html: str | None) -> list[Block]:
         if tag not in VOID_TAGS and not m["attrs"].endswith("/"):
             stack.append((tag, _name_parts(m["attrs"])))
             links += tag == "a"
+            drawings += tag == "svg"
     flush()
     return blocks
 
