@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tideglass.config import MoverRules
 from tideglass.functions.scalars import ratio
 from tideglass.operators.periods import Window
+from tideglass.operators.ranking import rank_rows
 from tideglass.operators.windows import LABELS, sums_for_anchors, sums_for_windows
 from tideglass.schemas import CHANNEL, MOVER
 
@@ -102,10 +103,9 @@ def mover_history(
 
 def rank_movers(scored: DataFrame, k: int | None = None) -> DataFrame:
     """Competition rank by impact within a window, of all channels or up to rank ``k``: equal
-    scores share a rank, and all rows of a shared rank are listed."""
-    by_score = W.partitionBy("insight_date", "insight_type") \
-        .orderBy(F.desc_nulls_last("impact_score"))
-    ranked = scored.withColumn("impact_rank", F.rank().over(by_score))
+    scores share a rank, and all rows of a shared rank are listed. The channels of one window are
+    ranked by many tasks. Windows of one date without a period are told apart by their bounds."""
+    ranked = rank_rows(scored, list(LABELS), "impact_score", "impact_rank", spread=CHANNEL)
     return ranked if k is None else ranked.where(F.col("impact_rank") <= k)
 
 
