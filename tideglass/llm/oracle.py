@@ -228,6 +228,109 @@ select doc_id, len(w)::bigint as n_words, coalesce(units, 0)::bigint as units,
        coalesce(units, 0) / 1000000::double as log10_score
 from texts left join sums using (d)"""
 
+
+
+def _with(label: str, cost: int, edit: str) -> str:
+    """A label, nine digits of cost and the audit, after one more edit."""
+    return (f"(lpad((substr({label}, 1, 9)::bigint + {cost})::varchar, 9, '0')"
+            f" || substr({label}, 10) || '{edit}')")
+
+
+def _inserted(k: str) -> str:
+    """The labels l0 to l3 after inserts, as columns {k}0 to {k}3."""
+    user = f"least(l2, {_with('least(l0, l1, l3)', 5, 'I')})"
+    return (f"l0 as {k}0, l1 as {k}1, {user} as {k}2,"
+            f" least(l3, {_with(user, 5, 'I')}) as {k}3")
+
+
+def _step() -> str:
+    def over(label: str, kept: str, made: str) -> str:
+        stay = "(case when faulty then 5 else 0 end)"
+        ways = [_with(label, 2, "D")]
+        for c, old in (w.split(":") for w in kept.split()):
+            ways.append(f"case when not gone and initial = '{c}' then {_with(old, f'{stay}', 'K')} end")
+        if made:
+            ways.append(f"case when not gone then {_with(made, f'{stay} + 1', 'R')} end")
+        return f"least({', '.join(ways)})"
+    return (f"{over('m0', '', '')} as l0, {over('m1', 's:m0', '')} as l1, "
+            f"{over('m2', 'u:m0 u:m1 u:m3', 'least(m0, m1, m3)')} as l2, "
+            f"{over('m3', 'a:m2', 'm2')} as l3")
+
+
+# The state by state recursion over the turns gives the same least (cost, audit) as the search: a
+# label is compared as text. Inserts are never cheapest at these costs, so an audit has a letter
+# for each turn.
+_REPAIR = rf"""
+with recursive bits(i, c, k) as (
+  select i, i::bigint, 0 from range(256) t(i)
+  union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1
+  from bits where k < 8),
+crc as (select list(c order by i) as t from bits where k = 8),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+  from conversations),
+kinds as (
+  select *, xor(list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)),
+      lambda acc, b: xor(acc >> 8, t[(xor(acc, b) & 255) + 1])), 4294967295) % 20 as kind
+  from keyed, crc),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+         unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from kinds where kind != 0),
+numbered as (
+  select *, row_number() over (
+    partition by conv_id order by turn nulls first, role, md5(text)) as i from damaged),
+judged as (
+  select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+         row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+         not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as open, left(role, 1) as initial,
+         lag(left(role, 1)) over (partition by conv_id order by i) as before
+  from numbered),
+turns as (
+  select *, not blank and again as duplicate, blank or again as gone,
+         not blank and not again and open as faulty from judged),
+ends as (select conv_id, max(i) as n from turns group by conv_id),
+steps(conv_id, i, l0, l1, l2, l3) as (
+  select conv_id, 0::bigint, '000000000', null::varchar, null::varchar, null::varchar from ends
+  union all
+  select conv_id, i, {_step()}
+  from (select s.conv_id, t.i, t.gone, t.faulty, t.initial, {_inserted('m')}
+        from steps s join turns t on t.conv_id is not distinct from s.conv_id and t.i = s.i + 1)),
+best as (
+  select conv_id, substr(label, 1, 9)::bigint as cost, substr(label, 10) as audit
+  from (select s.conv_id, least(m0, m3) as label
+        from (select conv_id, i, {_inserted('m')} from steps) s
+        join ends e on e.conv_id is not distinct from s.conv_id and e.n = s.i)),
+edited as (
+  select t.*, substr(audit, i, 1) as edit
+  from turns t join best b on b.conv_id is not distinct from t.conv_id),
+left_over as (
+  select *, row_number() over (partition by conv_id order by i) as j,
+         first_value(edit = 'K' and initial = 's') over (partition by conv_id order by i) as led
+  from edited where edit != 'D'),
+told as (
+  select conv_id, sha256(string_agg(case when edit = 'K' then role
+           when (j - led::int) % 2 = 1 then 'user' else 'assistant' end || ':' || text,
+         chr(10) order by i)) as digest from left_over group by conv_id),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+         count_if(blank)::bigint as blank, count_if(duplicate)::bigint as duplicate,
+         count_if(faulty)::bigint as truncated,
+         count_if(before || initial not in ('su', 'ua', 'au'))::bigint as illegal
+  from turns group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+       coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit,
+       coalesce(digest, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) e
+left join counted c on c.conv_id is not distinct from e.conv_id
+left join best b on b.conv_id is not distinct from e.conv_id
+left join told d on d.conv_id is not distinct from e.conv_id"""
+
 ORACLE: dict[str, str] = {
     "op1_maxscore": _TOP,
     "op2_lm_scores_trigram": _TRIGRAM_SCORES,
@@ -235,4 +338,5 @@ ORACLE: dict[str, str] = {
     "op3_quality_fences": _quality(floors=False),
     "op3_quality_rules": _quality(floors=True),
     "op9_mix_sources": _MIX,
+    "op13_repair_conversations": _REPAIR,
 }

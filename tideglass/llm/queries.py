@@ -16,9 +16,10 @@ from tideglass.llm.maxscore import top_k
 from tideglass.llm.mixing import mix_sources
 from tideglass.llm.neardup import near_duplicates
 from tideglass.llm.quality import quality_rules
+from tideglass.llm.repair import damage, plan_repairs, repaired_turns, transcript_digests
 from tideglass.llm.shipping import ship
 from tideglass.llm.tokenfiles import read_token_files, write_token_files
-from tideglass.sources.workspace import fresh_folder
+from tideglass.sources.workspace import fresh_folder, stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +106,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = damage(given)
+    repairs = stage(plan_repairs(damaged), "planned-repairs")
+    digests = transcript_digests(repaired_turns(damaged, repairs))
+    every = given.select(F.col("conv_id").alias("id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(repairs, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(
+        digests, F.col("id").eqNullSafe(F.col("conv")), "left").select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op")
 }
