@@ -1,10 +1,19 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tideglass.operators.ranking import _sorted_over_tasks, number_rows, rank_rows
 
 
+@pytest.fixture(autouse=True)
+def many_tasks(spark):
+    """Small tables would be merged into one task."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_numbers_run_through_a_group_that_many_tasks_hold(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else None, rng.randrange(40), i) for i in range(3000)]
