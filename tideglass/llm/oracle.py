@@ -331,6 +331,49 @@ left join counted c on c.conv_id is not distinct from e.conv_id
 left join best b on b.conv_id is not distinct from e.conv_id
 left join told d on d.conv_id is not distinct from e.conv_id"""
 
+_COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, k, w[i:i + k - 1] as g
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+        from words, range(1, 5) t(k) where len(w) >= k)),
+counts as (
+  select lang, k, g, count(*) as f from grams group by lang, k, g),
+sizes as (select lang, sum(f)::bigint as n from counts where k = 1 group by lang),
+frequent as (select * from counts where f >= 30),
+candidates as (select * from frequent where k > 1),
+cuts as (
+  select lang, k, g, f, unnest(range(1, k)) as c from candidates),
+scored as (
+  select c.lang, c.k, c.g, c.f, c.c, l.f as l, r.f as r,
+         2000000::hugeint * c.f // (l.f::hugeint + r.f) as score
+  from cuts c
+  join frequent l on l.lang = c.lang and l.g = c.g[1:c.c]
+  join frequent r on r.lang = c.lang and r.g = c.g[c.c + 1:c.k]),
+lowest as (
+  select *, row_number() over (partition by lang, g order by score, c) as p from scored),
+inside as (
+  select lang, g[i:i + size - 1] as g, max(f) as longest
+  from (select lang, g, f, size, unnest(range(1, k - size + 2)) as i
+        from candidates, range(2, 4) t(size) where size < k)
+  group by all),
+placed as (
+  select s.lang, array_to_string(s.g, ' ') as phrase, s.f as a, l, r, z.n, score,
+         row_number() over (partition by s.lang order by score desc, s.f desc,
+                            array_to_string(s.g, ' ')) as rank
+  from lowest s join sizes z on z.lang = s.lang
+  left join inside i on i.lang = s.lang and i.g = s.g
+  where p = 1 and (longest is null or 100::hugeint * longest < 80::hugeint * s.f))
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n,
+       score::bigint as score
+from placed where rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op1_maxscore": _TOP,
     "op2_lm_scores_trigram": _TRIGRAM_SCORES,
@@ -338,5 +381,6 @@ ORACLE: dict[str, str] = {
     "op3_quality_fences": _quality(floors=False),
     "op3_quality_rules": _quality(floors=True),
     "op9_mix_sources": _MIX,
+    "op12_collocations": _COLLOCATIONS,
     "op13_repair_conversations": _REPAIR,
 }

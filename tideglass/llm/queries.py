@@ -15,6 +15,7 @@ from tideglass.llm.langid import identify
 from tideglass.llm.maxscore import top_k
 from tideglass.llm.mixing import mix_sources
 from tideglass.llm.neardup import near_duplicates
+from tideglass.llm.phrases import collocations
 from tideglass.llm.pivots import nearest
 from tideglass.llm.quality import quality_rules
 from tideglass.llm.repair import damage, plan_repairs, repaired_turns, transcript_digests
@@ -111,6 +112,10 @@ def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     damaged = damage(given)
