@@ -86,3 +86,24 @@ def test_pieces_have_the_pre_tokens_of_the_text():
         first, *rest = split(text)
         assert [w for p in (first, *(" " + x for x in rest)) for w in pattern.findall(p)] \
             == pattern.findall(text), repr(text)
+
+
+def test_ids_equal_the_library_whatever_white_space():
+    """Slices of hundreds of texts, each kind of Unicode white space at start, middle and end."""
+    import random
+
+    reference = Tokenizer.from_file(PATH)
+    reference.encode_special_tokens = True
+    with open(PATH, "rb") as f:
+        encoder = tokenfiles.Encoder(f.read())
+    white = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["\u180e", "\u200b", "\ufeff", "  "]
+    r = random.Random(7)
+    given = [f"{a}{w}{b}" for w in white for a in ("", " ", "x", " s") for b in ("", " ", "y", " Read more")]
+    letters = [*white, "a", "B", "é", "1", "'s", ".", "-", "\x7f", "日"]
+    given += ["".join(r.choices(letters, k=r.randint(0, 8))) for _ in range(6000)]
+    for first in range(0, len(given), 400):
+        part = given[first:first + 400]
+        ids, bounds = encoder.encode(pa.array(part))
+        for k, text in enumerate(part):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == reference.encode(
+                text, add_special_tokens=False).ids, repr(text)

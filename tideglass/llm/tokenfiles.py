@@ -59,15 +59,18 @@ class Encoder:
                 self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all, number of ids of each). Pieces without white space but a leading space are
-        encoded as lines of one text: a line feed is a pre-token of its own between them."""
-        lines = np.array([p[1:].isprintable() and " " not in p[1:] and p[0] != "\n"
-                          for p in pieces], dtype=bool)
+        """(ids of all, number of ids of each). Pieces without white space but a space before a
+        character are encoded as lines of one text: a line feed is a pre-token of its own between
+        them. Others, such as a lone no-break space, would merge with it and go by themselves."""
+        lines = np.array([p.isprintable() and " " not in p[1:] and p != " " for p in pieces], dtype=bool)
         found: list[np.ndarray] = [np.zeros(0, self.type)] * len(pieces)
         plain = np.flatnonzero(lines)
         if len(plain):
             ids = self._ids(["\n".join([pieces[k] for k in plain])])[0]
-            for k, part in zip(plain, np.split(ids, np.flatnonzero(ids == self.line_feed))):
+            parts = np.split(ids, np.flatnonzero(ids == self.line_feed))
+            if len(parts) != len(plain):
+                raise ValueError("the tokenizer joins a line feed with a neighbouring character")
+            for k, part in zip(plain, parts):
                 found[k] = part[part != self.line_feed]
         odd = np.flatnonzero(~lines)
         for k, ids in zip(odd, self._ids([pieces[k] for k in odd])):
