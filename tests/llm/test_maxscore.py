@@ -2,6 +2,7 @@ import numpy as np
 
 from tideglass.llm import maxscore
 from tideglass.llm.maxscore import Shard, top_k
+from tideglass.llm.queries import op1_maxscore
 
 SCHEMA = "vec_id long, vec array<long>, id string, score string, rank int"
 
@@ -12,20 +13,34 @@ def table(spark, rows):
 
 def brute(vectors, queries, k):
     def clean(rows):
-        out = {}
-        for i, v in rows:
-            if i is not None and v is not None and None not in v:
-                out[i] = min(out.get(i, v), v)
-        return out
-
-    vectors, queries, found = clean(vectors), clean(queries), []
-    for q, qv in queries.items():
+        return [(i, v) for i, v in rows if i is not None and v is not None and None not in v]
+
+    asked, found = {}, []
+    for i, v in clean(queries):
+        asked[i] = min(asked.get(i, v), v)
+    for q, qv in asked.items():
         scores = sorted((-sum(a * b for a, b in zip(qv, v)), i)
-                        for i, v in vectors.items() if i != q)
+                        for i, v in clean(vectors) if i != q)
         found += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(found)
 
 
+def test_rows_of_one_id_are_all_candidates(spark):
+    got = top_k(table(spark, [(0, [1]), (5, [9]), (5, [2]), (6, [9])]), table(spark, [(0, [1])]), 5)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 5, 9), (0, 2, 6, 9), (0, 3, 5, 2)]
+
+
+def test_query_leaves_out_components_that_are_no_numbers(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, 0.25]), (1, [nan, 1.0]), (2, [inf, 1.0]), (3, [-inf, 1.0]), (4, None),
+            (5, [None, 1.0]), (50, [-0.001, 1.0]), (7, [0.5])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    got = sorted(map(tuple, op1_maxscore(spark, str(tmp_path)).collect()))
+    assert got == [(0, 1, 7, 128 * 128), (0, 2, 50, -128 + 64 * 256),
+                   (50, 1, 0, -128 + 64 * 256), (50, 2, 7, -128)]
+
+
 def test_same_as_brute_force_over_several_cells(spark, monkeypatch):
     monkeypatch.setattr(maxscore, "SHARD_ROWS", 70)
     monkeypatch.setattr(maxscore, "QUERY_ROWS", 9)

@@ -51,10 +51,9 @@ class Shard:
         bound = np.maximum(np.maximum(query * self.low, query * self.high), 0)
         dims = np.argsort(-bound, kind="stable")
         dims = dims[(query[dims] != 0)]
-        own = np.searchsorted(self.ids, own_id)
-        own = own if own < len(self.ids) and self.ids[own] == own_id else -1
-        if len(self.ids) - (own >= 0) <= k:
-            rows = np.flatnonzero(np.arange(len(self.ids)) != own)
+        own = slice(*(int(np.searchsorted(self.ids, own_id, side)) for side in ("left", "right")))
+        if len(self.ids) - (own.stop - own.start) <= k:
+            rows = np.flatnonzero(self.ids != own_id)
             return self.ids[rows], self.weights[rows] @ query
         floor = self._start(own, query, dims, k)
 
@@ -73,8 +72,7 @@ class Shard:
                 touched[rows] = True
         if essential == len(dims):  # even a candidate without any term can be among the best
             touched[:] = True
-        if own >= 0:
-            touched[own] = False
+        touched[own] = False
         rows = np.flatnonzero(touched & (score + tail[essential] >= floor))
         score = score[rows]
         for k_dim in range(essential, len(dims)):
@@ -86,14 +84,14 @@ class Shard:
         best = np.lexsort((rows, -score))[:k]
         return self.ids[rows[best]], score[best]
 
-    def _start(self, own: int, query: np.ndarray, dims: np.ndarray, k: int) -> float:
+    def _start(self, own: slice, query: np.ndarray, dims: np.ndarray, k: int) -> float:
         """A score that k candidates reach for sure: the k-th best of a few promising ones."""
-        rows = [np.arange(min(len(self.ids), k + 1))]
+        rows = [np.arange(min(len(self.ids), k + own.stop - own.start))]
         for d in dims[:SEED_LISTS]:
             listed = self.rows[d]
             rows.append(listed[-SEED_ENTRIES:] if query[d] > 0 else listed[:SEED_ENTRIES])
         rows = np.unique(np.concatenate(rows))
-        rows = rows[rows != own]
+        rows = rows[(rows < own.start) | (rows >= own.stop)]
         scores = self.weights[rows] @ query
         return float(np.partition(scores, len(scores) - k)[len(scores) - k])
 
@@ -131,8 +129,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """The k best candidates of each query: query_id, rank (from 1), vec_id, score.
 
     Both sides hold (id, array of integers). The score is the inner product, a missing component
-    counts as 0; ties go to the smaller id. A row is its id: of several rows with one id, the one
-    with the smallest array counts, and a query does not find the candidate of its own id. Rows
+    counts as 0; ties go to the smaller id. Of several rows with one id each is a candidate, but
+    none for a query of that id; of several query rows with one id the smallest array asks. Rows
     with a NULL id, a NULL array or a NULL component take no part. No queries or no other
     candidates give no rows. Other columns play no part.
     """
@@ -141,10 +139,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
             df.select(F.col(id_col).cast("long").alias("id"),
                       F.col(vec_col).cast("array<long>").alias("vec"))
             .where("id is not null and vec is not null and not exists(vec, x -> x is null)")
-            .groupBy("id").agg(F.min("vec").alias("vec"))
         )
 
-    candidates, asked = stage(slim(vectors), "search-rows"), stage(slim(queries), "search-queries")
+    candidates = stage(slim(vectors), "search-rows")
+    asked = stage(slim(queries).groupBy("id").agg(F.min("vec").alias("vec")), "search-queries")
     shards = max(1, -(-candidates.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
 

@@ -148,16 +148,17 @@ from placed"""
 
 _TOP = """
 with vectors as (
-  select vec_id, min(list_transform(embedding, lambda x: floor(256 * x::double))) as vec
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as vec
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-  group by vec_id),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+queries as (
+  select vec_id, min(vec) as vec from vectors where vec_id % 50 = 0 group by vec_id),
 ranked as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.vec, c.vec)::bigint as score,
          row_number() over (partition by q.vec_id
                             order by list_inner_product(q.vec, c.vec) desc, c.vec_id) as rank
-  from vectors q join vectors c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+  from queries q join vectors c on c.vec_id <> q.vec_id)
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5"""
 
 _SCORES = rf"""
