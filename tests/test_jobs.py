@@ -11,17 +11,20 @@ from tideglass.config import BACKFILL, DAILY, Gate, Tables
 from tideglass.operators.kpi import kpis
 from tideglass.operators.marts import attribution_daily, date_spine, purchase_lines, purchases_daily
 from tideglass.operators.movers import movers
-from tideglass.operators.periods import single_window
+from tideglass.operators.periods import single_window, windows_of_anchor
+from tideglass.operators.running import read_totals
 from tideglass.operators.staging import stage_events
 from tideglass.plans.insights import with_inputs
 from tideglass.plans.jobs import (
-    historical_insights, latest_insights, missing_insights, run_backfill, run_latest,
+    historical_insights, latest_insights, missing_insights, run_backfill, run_changes, run_holes,
+    run_latest, store_totals,
 )
 from tideglass.schemas import INSIGHT, RAW_EVENT
 from tideglass.sources.catalog import publish_table, publish_view
 from tideglass.sources.events import flatten_events
+from tideglass.sources.insight_store import upsert
 
-NOW = datetime(2021, 2, 1)
+NOW, LATER = datetime(2021, 2, 1), datetime(2021, 2, 2)
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -112,14 +115,58 @@ def test_free_windows_keep_their_movers(spark, tables):
     assert per_window == want and all(want.values())
 
 
-def test_holes_are_found_and_only_they_are_built(spark, tables):
+def test_holes_are_found_and_only_they_are_built(spark, tables, tmp_path):
     purchases, attribution = (spark.read.parquet(t) for t in (tables.purchases, tables.attribution))
+    here = with_totals(tables, tmp_path)
+    store_totals(spark, here)
+    totals = read_totals(spark, here.purchase_totals), read_totals(spark, here.attribution_totals)
     whole = historical_insights(purchases, attribution, SPAN)
     stored = whole.where("not (insight_type = 'Total' and insight_date = '2020-12-01')") \
         .withColumn("insight_type", F.lower("insight_type"))
-    built = missing_insights(purchases, attribution, SPAN, stored)
+    built = missing_insights(*totals, SPAN, stored)
     assert plain(built) == plain(whole.where("insight_type = 'Total' and insight_date = '2020-12-01'"))
     assert built.count() == 1
+    # No facts and no series by day: only totals are read, and of the hole's months alone.
+    assert all("/p/" in f or "/a/" in f or "/spine" in f
+               for f in missing_insights(*totals, SPAN, whole.limit(0)).inputFiles())
+    # Every window at once gives the history.
+    assert plain(missing_insights(*totals, SPAN, whole.limit(0))) == plain(whole)
+    # As a job: the lost rows come back, the others keep their moment.
+    run_backfill(spark, here, now=NOW)
+    upsert(spark, here.insights, whole.limit(0))
+    assert run_holes(spark, here, now=LATER).where(F.col("created_at") == F.lit(LATER.isoformat())
+                                                   .cast("timestamp_ntz")).count() == 0
+
+
+def with_totals(tables, tmp_path):
+    return replace(tables, insights=str(tmp_path / "insights"), purchase_totals=str(tmp_path / "p"),
+                   attribution_totals=str(tmp_path / "a"))
+
+
+def test_only_what_a_reload_changes_is_written_anew(spark, tables, tmp_path):
+    here = with_totals(tables, tmp_path)
+    run_backfill(spark, here, now=NOW)
+    store_totals(spark, here)
+    day = date(2020, 12, 20)
+
+    def raised(path, name):
+        facts = spark.read.parquet(path).withColumn("revenue", F.when(
+            F.col("date") == F.lit(day), F.col("revenue") + 100).otherwise(F.col("revenue")))
+        facts.write.parquet(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    there = replace(here, purchases=raised(here.purchases, "p2"), attribution=raised(here.attribution, "a2"))
+    days = spark.createDataFrame([(day,), (day,), (None,), (date(2030, 1, 1),)], "date date")
+    after = run_changes(spark, there, days.where("date is null or date < '2025-01-01'"), now=LATER)
+    whole = historical_insights(spark.read.parquet(there.purchases), spark.read.parquet(there.attribution), SPAN)
+    assert plain(after.drop("created_at", "insight_year")) == plain(whole.drop("created_at"))
+    written = {(r.insight_date, r.insight_type) for r in after.collect() if r.created_at == LATER}
+    kept = {(r.insight_date, r.insight_type) for r in after.collect() if r.created_at == NOW}
+    want = {(w.insight_date, w.insight_type) for anchor in after.select("insight_date").distinct().collect()
+            for w in windows_of_anchor(spark, SPAN[0], anchor[0], BACKFILL.month)
+            if w.prev_start <= day <= w.window_end}
+    assert written == want and len(written) + len(kept) == after.count() and kept
+    assert run_changes(spark, there, days.where("date is null"), now=LATER).count() == after.count()
 
 
 def test_generator_behind_the_gate(spark, tables, tmp_path):

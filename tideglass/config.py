@@ -103,6 +103,8 @@ class Tables:
     attribution: str = "fct_attribution_daily"
     dates: str = "dim_date"
     insights: str = "insights"
+    purchase_totals: str = "run_purchases_daily"        # paths only, as they are kept by month
+    attribution_totals: str = "run_attribution_daily"
     namespace: str | None = None
 
     def qualify(self, name: str) -> str:

@@ -687,11 +687,18 @@ from kpis k left join named n
 {_whole(_DAILY_CARD, "timestamp '2024-01-02'")}""",
     "run_backfill_whole": f"""with {_BACKFILL},{_template('kpis')}
 {_whole(_BACKFILL_CARD, "timestamp '2024-01-01'")}""",
-    "run_backfill_stored": f"""with {_BACKFILL},{_template('kpis')}
-{_whole(_BACKFILL_CARD, "timestamp '2024-01-01'", "where t.insight_date >= date '1998-01-01'")}""",
     "insight_holes": f"""with {_BACKFILL},{_template('kpis')}
 {_whole(_BACKFILL_CARD, where="where t.insight_type = 'Total' and day(t.insight_date) = 1 "
                               "or t.insight_date = date '1995-06-15'")}""",
+    "insight_changes": f"""with {_BACKFILL},{_template('kpis')},
+changed as (
+  select unnest([d0 + 500, d0 + 501, d1 - 40, d1])::date as day from span)
+{_whole(_BACKFILL_CARD, "case when exists (select 1 from windows w join changed c "
+        "on c.day between w.prev_start and w.window_end where w.insight_date = t.insight_date "
+        "and w.insight_type = t.insight_type) then timestamp '2024-01-02' "
+        "else timestamp '2024-01-01' end")}""",
+    "window_sums_at": f"""with {_LINES},{_windows('calendar', 'calendar')},{_KPIS}
+select * from kpis""",
     "free_window": f"""with {_LINES},
 windows as (
   select d1 as insight_date, cast(null as varchar) as insight_type,

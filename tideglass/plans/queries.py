@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tideglass.config import BACKFILL, DAILY, Gate, MoverRules, Tables
 from tideglass.functions.scalars import daily_money, micros_to_ntz, ntz_text, ntz_to_micros, parse_day
 from tideglass.operators import quality, staging, trends
-from tideglass.operators.kpi import kpi_history, kpi_struct, kpis, rolling_kpis
+from tideglass.operators.kpi import kpi_columns, kpi_history, kpi_struct, kpis, rolling_kpis
 from tideglass.operators.marts import (
     attribution_daily, date_span, dim_channel, purchase_lines, purchases_daily, reconcile,
     shorten_labels, star, strict_revenue, zero_fill,
@@ -29,11 +30,13 @@ from tideglass.operators.narrative import (
 from tideglass.operators.periods import (
     period_windows, single_window, window_label, windows_of_anchor,
 )
+from tideglass.operators.running import read_totals, refresh_totals, sums_at, write_totals
 from tideglass.operators.windows import sums_for_windows
 from tideglass.plans import driver_tables as tables
 from tideglass.plans.insights import build_insights, with_inputs
 from tideglass.plans.jobs import (
-    historical_insights, latest_insights, missing_insights, run_backfill, run_latest,
+    historical_insights, latest_insights, missing_insights, run_backfill, run_changes, run_latest,
+    store_totals,
 )
 from tideglass.schemas import CHANNEL, INSIGHT, KPI, MOVER
 from tideglass.sources import catalog, events, insight_store, lake
@@ -609,7 +612,8 @@ def insights_backfill(spark: SparkSession, sf: str) -> DataFrame:
 def _job_tables(spark: SparkSession, sf: str) -> Tables:
     """The facts and the date dimension stored where a job finds them."""
     folder = fresh_folder(spark, "job")
-    named = Tables(*[f"{folder}/{n}" for n in ("purchases", "attribution", "dates", "insights")])
+    named = Tables(*[f"{folder}/{n}" for n in (
+        "purchases", "attribution", "dates", "insights", "purchase-totals", "attribution-totals")])
     catalog.publish_table(tables.purchases(spark, sf), named.purchases)
     catalog.publish_table(tables.attribution(spark, sf), named.attribution)
     catalog.publish_table(tables.calendar(spark, sf), named.dates)
@@ -628,19 +632,48 @@ def run_backfill_whole(spark: SparkSession, sf: str) -> DataFrame:
     return _whole(run_backfill(spark, _job_tables(spark, sf), now=FIRST_RUN))
 
 
-def run_backfill_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The historical job from 1998 on, as its table has it afterwards."""
-    return _whole(run_backfill(spark, _job_tables(spark, sf), start=date(1998, 1, 1), now=FIRST_RUN))
+def _stored_totals(spark: SparkSession, named: Tables) -> tuple[DataFrame, DataFrame]:
+    store_totals(spark, named)
+    return read_totals(spark, named.purchase_totals), read_totals(spark, named.attribution_totals)
 
 
 def insight_holes(spark: SparkSession, sf: str) -> DataFrame:
     """A table that lost the Total insight of every first of a month and all of one day: those,
-    and only those, are built again."""
-    facts = _facts(spark, sf)
-    stored = historical_insights(*facts).where(
+    and only those, are built again, from stored running totals."""
+    stored = historical_insights(*_facts(spark, sf)).where(
         ~((F.col("insight_type") == "Total") & (F.dayofmonth("insight_date") == 1))
         & (F.col("insight_date") != "1995-06-15"))
-    return _whole(missing_insights(*facts, stored))
+    totals = _stored_totals(spark, _job_tables(spark, sf))
+    return _whole(missing_insights(*totals, tables.order_span(spark, sf), stored))
+
+
+def insight_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The historical job ran while four days were missing from the facts. They are brought in, and
+    every insight that depends on one of them, and no other, is written anew."""
+    named = _job_tables(spark, sf)
+    first, last = tables.order_span(spark, sf)
+    days = [date.fromordinal(d) for d in (
+        first.toordinal() + 500, first.toordinal() + 501, last.toordinal() - 40, last.toordinal())]
+    known = replace(named, purchases=f"{named.purchases}-before", attribution=f"{named.attribution}-before")
+    for now, then in ((named.purchases, known.purchases), (named.attribution, known.attribution)):
+        catalog.publish_table(spark.read.parquet(now).where(~F.col("date").isin(days)), then)
+    run_backfill(spark, known, now=FIRST_RUN)
+    store_totals(spark, known)
+    changed = spark.createDataFrame([(d,) for d in days], "date date")
+    return _whole(run_changes(spark, named, changed, now=SECOND_RUN))
+
+
+def window_sums_at(spark: SparkSession, sf: str) -> DataFrame:
+    """Revenue and orders of every window of the calendar, read from running totals that were
+    stored half way and brought up to date from there."""
+    named = _job_tables(spark, sf)
+    first, last = tables.order_span(spark, sf)
+    half = date.fromordinal((first.toordinal() + last.toordinal()) // 2)
+    facts = spark.read.parquet(named.purchases)
+    write_totals(facts.where(F.col("date") < F.lit(half)), named.purchase_totals, ["revenue", "orders"], half)
+    refresh_totals(facts, named.purchase_totals, ["revenue", "orders"], half, last)
+    windows = period_windows(tables.calendar(spark, sf), first, "calendar")
+    return kpi_columns(sums_at(read_totals(spark, named.purchase_totals), windows, ["revenue", "orders"]))
 
 
 def free_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -783,8 +816,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "generated_insights": generated_insights,
     "run_latest_stored": run_latest_stored,
     "run_backfill_whole": run_backfill_whole,
-    "run_backfill_stored": run_backfill_stored,
     "insight_holes": insight_holes,
+    "insight_changes": insight_changes,
+    "window_sums_at": window_sums_at,
     "free_window": free_window,
     "window_labels": window_labels,
     "insights_latest": insights_latest,
