@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tideglass.config import Tables
 from tideglass.schemas import FLAT_EVENT
 from tideglass.sources.catalog import publish_table, publish_view, read_table
+from tideglass.sources.loads import LEDGER, load_new, read_ledger, read_loaded, skipped_files
 from tideglass.sources.lake import (
-    cast_losses, list_files, load_events, reload_dates, replace_table, skipped_files,
+    cast_losses, list_files, load_events, reload_dates, replace_table,
     type_variant_rows, write_by_date,
 )
 from tideglass.sources.workspace import fresh_folder
@@ -73,9 +74,15 @@ def test_corrupt_file(spark, tmp_path):
     with pytest.raises(Exception):
         load_events(spark, path).collect()
     assert per_day(load_events(spark, path, on_error="continue")) == {1: 3, 2: 3}
-    skipped = skipped_files(spark, path).collect()
-    assert [os.path.basename(r.path) for r in skipped] == ["part-bad.parquet"]
-    assert skipped[0].length == 23
+    # whatever their names, and not a sound file without rows or one that readers pass over
+    for name in ("000000000001.parquet", "_hidden.parquet"):
+        with open(os.path.join(path, "date=2020-12-01", name), "wb") as bad:
+            bad.write(b"PAR1 but no more")
+    events(spark, []).coalesce(1).drop("event_dt").write.mode("append").parquet(f"{path}/date=2020-12-02")
+    skipped = {os.path.basename(r.path): r for r in skipped_files(spark, path).collect()}
+    assert skipped.keys() == {"part-bad.parquet", "000000000001.parquet"}
+    assert skipped["part-bad.parquet"].length == 23 and all(r.reason for r in skipped.values())
+    os.remove(os.path.join(path, "date=2020-12-01", "000000000001.parquet"))
     # a file outside the pattern is not even opened
     good = load_events(spark, path, pattern=r".*date=2020-12-01/.*", on_error="abort")
     assert per_day(good) == {1: 3}
@@ -133,3 +140,36 @@ def test_work_folders_are_below_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert one != two and one.startswith(shared)
+
+
+def test_loads_are_incremental_and_repeatable(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "table")
+    assert read_loaded(spark, root).count() == 0
+    write_by_date(events(spark, [1, 2]), source)
+    bad = os.path.join(source, "date=2020-12-02", "000000000001.parquet")
+    with open(bad, "wb") as file:
+        file.write(b"no parquet")
+    first = load_new(spark, source, root).collect()
+    assert {r.outcome for r in first} == {"loaded", "failed"}
+    failed = [r for r in first if r.outcome == "failed"]
+    assert [os.path.basename(r.path) for r in failed] == ["000000000001.parquet"] and failed[0].reason
+    assert per_day(read_loaded(spark, root).withColumn("date", F.col("event_dt"))) == {1: 3, 2: 3}
+    assert load_new(spark, source, root).count() == 0          # nothing new, the bad one is known
+    # a new day, and the damaged file comes again, sound
+    write_by_date(events(spark, [3]), source)
+    events(spark, [2]).coalesce(1).write.parquet(str(tmp_path / "sound"))
+    part = next(f for f in os.listdir(tmp_path / "sound") if f.endswith(".parquet"))
+    os.replace(tmp_path / "sound" / part, bad)
+    second = load_new(spark, source, root).collect()
+    assert {r.outcome for r in second} == {"loaded"} and sum(r.n_rows for r in second) == 6
+    rows = read_loaded(spark, root).withColumn("date", F.col("event_dt"))
+    assert per_day(rows) == {1: 3, 2: 6, 3: 3}
+    # a load that dies before its ledger entry leaves nothing behind that is read
+    events(spark, [9]).withColumn("source_file", F.lit("x")).write.parquet(f"{root}/rows/load_id=dead")
+    assert per_day(read_loaded(spark, root).withColumn("date", F.col("event_dt"))) == {1: 3, 2: 6, 3: 3}
+    with open(bad, "wb") as file:
+        file.write(b"damaged again")
+    with pytest.raises(RuntimeError):
+        load_new(spark, source, root, on_error="abort")
+    assert read_ledger(spark, root).columns == LEDGER.names
+    assert read_ledger(spark, root).count() == len(first) + len(second)

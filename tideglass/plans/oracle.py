@@ -368,7 +368,17 @@ select event_dt as date, count(*) as n_rows,
        cast(case when event_dt in (date '2024-01-05', date '2024-01-09') then 1 else 0 end as bigint)
          as n_skipped
 from flat_events group by 1""",
-    "lake_listing": f"with {_FLAT_EVENTS} select distinct event_dt as date from flat_events",
+    "incremental_load": f"""with {_FLAT_EVENTS},
+days as (
+  select event_dt as date, count(*) as n, cast(sum(cast(price as decimal(20, 6))) as double) as price,
+         cast(case when event_dt in (date '2024-01-05', date '2024-01-09', date '2024-01-25')
+                   then 1 else 0 end as bigint) as bad
+  from flat_events group by 1)
+select date, n as n_rows, price, n as n_in_ledger, bad as n_failed, bad as n_reasons,
+       cast(1 as bigint) as n_loads from days""",
+    "lake_listing": f"""with {_FLAT_EVENTS}
+select distinct event_dt as date, 'date=' || event_dt as folder, true as has_files,
+       true as all_hold_bytes, true as listed_once from flat_events""",
     "named_tables": f"""with {_LINES}
 select p.date, cast(any_value(p.revenue) as double) as revenue,
        cast(sum(a.revenue) as double) as channel_revenue

@@ -39,7 +39,7 @@ from tideglass.plans.jobs import (
     store_totals,
 )
 from tideglass.schemas import CHANNEL, INSIGHT, KPI, MOVER
-from tideglass.sources import catalog, events, insight_store, lake
+from tideglass.sources import catalog, events, insight_store, lake, loads
 from tideglass.sources.workspace import fresh_folder, stage
 
 STRICT_DAILY = MoverRules(0.6, 0.4, 0.0, None, null_safe=False)
@@ -81,19 +81,53 @@ def skipped_files(spark: SparkSession, sf: str) -> DataFrame:
             .write.mode("append").text(f"{path}/date={day}")
     loaded = lake.load_events(spark, path, on_error="continue").groupBy("date").agg(
         F.count("*").alias("n_rows"))
-    skipped = lake.skipped_files(spark, path).groupBy(
+    skipped = loads.skipped_files(spark, path).groupBy(
         F.to_date(F.regexp_extract("path", r"date=([0-9-]+)/", 1)).alias("day")
     ).agg(F.count("*").alias("n_skipped"))
     return loaded.join(skipped, F.col("date") == F.col("day"), "left").select(
         "date", "n_rows", F.coalesce("n_skipped", F.lit(0)).alias("n_skipped"))
 
 
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries, loaded as they come: first the days up to the 20th, with two files that are
+    no Parquet; then the other days, with one more. The load is run twice after each. By day: the
+    rows loaded and those the ledger tells of, failed files, those with a reason, and loads."""
+    source, root = fresh_folder(spark, "delivered"), fresh_folder(spark, "loaded")
+    flat = tables.flat_events(spark, sf)
+
+    def deliver(condition: str, *damaged: str) -> None:
+        lake.write_by_date(flat.where(condition), source)
+        for day in damaged:
+            spark.createDataFrame([("no parquet",)], "line string").coalesce(1) \
+                .write.mode("append").text(f"{source}/date={day}")
+        for _ in range(2):
+            loads.load_new(spark, source, root)
+
+    deliver("day(event_dt) <= 20", "2024-01-05", "2024-01-09")
+    deliver("day(event_dt) > 20", "2024-01-25")
+    entries = loads.read_ledger(spark, root).groupBy(
+        F.to_date(F.regexp_extract("path", r"date=([0-9-]+)/", 1)).alias("day")).agg(
+        F.count_if(F.col("outcome") == "failed").alias("n_failed"),
+        F.count_if((F.col("outcome") == "failed") & (F.length("reason") > 0)).alias("n_reasons"),
+        F.count_distinct("load_id").alias("n_loads"), F.sum("n_rows").alias("n_in_ledger"))
+    rows = loads.read_loaded(spark, root).groupBy(F.col("event_dt").alias("date")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("price").cast("decimal(20,6)")).cast("double").alias("price"))
+    return rows.join(entries, F.col("date") == F.col("day")).select(
+        "date", "n_rows", "price", "n_in_ledger", "n_failed", "n_reasons",
+        "n_loads")
+
+
 def lake_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """The day folders of the lake, from the listing alone."""
+    """The files of each day of the lake, from the listing alone: how a path ends, that there are
+    files and that they hold bytes. Their names and sizes are the writer's."""
     path = fresh_folder(spark, "flat")
     lake.write_by_date(tables.flat_events(spark, sf), path)
-    return lake.list_files(spark, path).where("length > 0").select(
-        F.to_date(F.regexp_extract("path", r"date=([0-9-]+)/", 1)).alias("date")).distinct()
+    tail = F.regexp_extract("path", r"(date=[0-9-]+)/[^/]+\.parquet$", 1)
+    return lake.list_files(spark, path).groupBy(tail.alias("folder")).agg(
+        (F.count("*") >= 1).alias("has_files"), (F.min("length") > 0).alias("all_hold_bytes"),
+        (F.count_distinct("path") == F.count("*")).alias("listed_once")).select(
+        F.to_date(F.substring("folder", 6, 10)).alias("date"), "folder", "has_files",
+        "all_hold_bytes", "listed_once")
 
 
 def named_tables(spark: SparkSession, sf: str) -> DataFrame:
@@ -758,6 +792,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roundtrip_partitioned": roundtrip_partitioned,
     "load_by_pattern": load_by_pattern,
     "skipped_files": skipped_files,
+    "incremental_load": incremental_load,
     "lake_listing": lake_listing,
     "named_tables": named_tables,
     "materialised_layers": materialised_layers,

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tideglass.functions.scalars import micros_to_ntz
 from tideglass.schemas import FLAT_EVENT
-from tideglass.sources.workspace import remove_folder
+from tideglass.sources.workspace import stage
 
 DAY_FOLDER = "date"
+EVENT_DAY = "event_dt"
 
 
 def write_by_date(df: DataFrame, path: str, date_col: str = "event_dt") -> None:
@@ -65,7 +66,7 @@ def load_events(
     ``dates`` prunes folders and is the preferred way. ``pattern`` is a regular expression for
     the whole path; a range of months loaded by three patterns elsewhere is one alternation here.
     ``on_error="abort"`` fails the read at an unreadable file, ``"continue"`` skips it;
-    ``skipped_files`` then names what was left out. Parquet has no per-row continue: a file is
+    ``loads.skipped_files`` then names what was left out. Parquet has no per-row continue: a file is
     read or skipped as a whole.
     """
     if on_error not in ("continue", "abort"):
@@ -76,6 +77,8 @@ def load_events(
         .option("ignoreCorruptFiles", str(on_error == "continue").lower())
         .parquet(path)
     )
+    if EVENT_DAY in schema.names:  # not the mark of an emptied day
+        events = events.where(F.col(EVENT_DAY).isNotNull() | F.col(DAY_FOLDER).isNull())
     if dates is not None:
         first, last = (F.to_date(F.lit(str(d))) for d in dates)
         events = events.where(F.col(DAY_FOLDER).between(first, last))
@@ -84,17 +87,6 @@ def load_events(
     return events
 
 
-def skipped_files(spark: SparkSession, path: str, schema: T.StructType = FLAT_EVENT) -> DataFrame:
-    """The files below ``path`` that ``on_error="continue"`` leaves out: those listed that give no
-    row (a readable file without rows is among them, and loses nothing). Paths and sizes."""
-    read = load_events(spark, path, on_error="continue", schema=schema) \
-        .select(F.col("_metadata.file_path").alias("path")).distinct()
-    listed = list_files(spark, path, "part-*")
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    return listed.withColumn("path", plain).join(
-        read.withColumn("path", plain), "path", "left_anti").select("path", "length")
-
-
 def type_variant_rows(
     df: DataFrame, column: str = "v", schema: T.StructType = FLAT_EVENT, strict: bool = True
 ) -> DataFrame:
@@ -134,7 +126,9 @@ def reload_dates(
     """Make the lake hold, for ``start``..``end``, exactly the rows of ``df`` in that range.
 
     Days of the range that ``df`` has no rows for are emptied as well, as deleting the range
-    before an insert would do; a dynamic overwrite alone would leave their old files in place.
+    before an insert would do. Replacing and emptying are one overwrite: an emptied day gets one
+    row with nothing but its folder, which ``load_events`` leaves out (a row's own date is never
+    NULL in the folder of a day). A run that dies before the commit changes nothing.
     """
     spark = df.sparkSession
     in_range = df.where(F.col(date_col).between(F.lit(start), F.lit(end)))
@@ -143,12 +137,12 @@ def reload_dates(
         .option("basePath", path).parquet(path)
         .where(F.col(DAY_FOLDER).between(F.lit(start), F.lit(end)))
     )
-    # At most one row per calendar day of the range reaches the driver.
-    stale = (
-        stored.distinct()
-        .join(in_range.select(F.col(date_col).alias(DAY_FOLDER)).distinct(), DAY_FOLDER, "left_anti")
-        .collect()
+    emptied = stored.distinct().join(
+        in_range.select(F.col(date_col).alias(DAY_FOLDER)).distinct(), DAY_FOLDER, "left_anti")
+    rows = in_range.withColumn(DAY_FOLDER, F.col(date_col)).unionByName(
+        emptied, allowMissingColumns=True)
+    (
+        stage(rows, "reloaded-days").hint("rebalance", F.col(DAY_FOLDER))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY_FOLDER).parquet(path)
     )
-    write_by_date(in_range, path, date_col)
-    for row in stale:
-        remove_folder(spark, f"{path.rstrip('/')}/{DAY_FOLDER}={row[0].isoformat()}")
