@@ -10,12 +10,14 @@ is missed, as its subphrases occur at least as often.
 - A *chunk* is a run of consecutive texts as numbers of its own words, 0 between pieces.
 - A phrase that has reached the threshold gets a 64-bit number. A longer phrase is the pair of the
   numbers of its subphrases, so that counting and joining know pairs of numbers, not texts.
-- A scan of a shard takes, length by length, the numbers of the phrases that the chunk is known to
-  hold (``_known``: what the chunk has sent, joined with what has reached the threshold) and sends
-  each distinct active pair once a chunk, with its count. Spark adds them up by pair.
-
-What is kept between scans are written tables: pairs still in their cycle, phrases that reached the
-threshold, and what chunks have sent. The driver holds counts of rows only.
+- Pairs are dealt by hash into *parts*, whose number follows the number of words. A scan of a shard
+  takes, length by length, the phrases that the chunk is known to hold, and sends each distinct
+  active pair once a chunk, with its count, as one compressed block a part.
+- A part adds the blocks of a scan to its state: pairs in their cycle, and phrases that have reached
+  the threshold. Joined with what a chunk has sent, the state tells the chunk what it holds.
+
+What is kept between scans are written tables. The driver holds counts of rows only. Pairs are told
+apart by their two numbers; hashes only deal them to parts and find them.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -37,6 +40,7 @@ SHARDS = 2
 CHUNK_BYTES = 12_000_000
 LENGTHS = 4
 THRESHOLD = 30
+PART_WORDS = 3_000_000  # of the corpus, for each part; about a third as many pairs are in a cycle
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -148,30 +152,154 @@ class _Sequence:
         self.ids, self.steps = own_ids, own_steps
 
 
-def _scan(length: int, step: int, shards: int):
-    """A chunk and what is known of it: the active pairs of ``length`` with their counts."""
+_PAIR = ["left", "right"]
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit numbers as compressed byte planes; those of small numbers are mostly zero."""
+    planes = np.ascontiguousarray(values.astype("<i8")).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
+
+
+def _columns(table: pa.Table, names: list[str]) -> list[np.ndarray]:
+    """The numbers of packed columns, all rows' one after the other."""
+    return [np.concatenate([np.zeros(0, np.int64), *map(_unpack, table[c].to_pylist())]) for c in names]
+
+
+def _row(packed: dict[str, np.ndarray], **plain: int) -> dict[str, object]:
+    return plain | {c: _pack(v) for c, v in packed.items()}
+
+
+def _spread(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return texts.mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64))
+
+
+_SENT = "part int, chunk long, left binary, right binary, start binary, n binary"
+_STATE = ("part int, fresh long, left binary, right binary, start binary, n binary, step binary, "
+          "id binary")
+_KNOWN = "chunk long, length int, left binary, right binary, id binary, step binary"
+_BINARY = {c: pa.binary() for c in ("left", "right", "start", "n", "step", "id")}
+_ARROW = {"part": pa.int32(), "chunk": pa.int64(), "fresh": pa.int64(), "length": pa.int32()} | _BINARY
+
+
+def _table(rows: list[dict[str, object]], kind: str) -> pa.Table:
+    names = [c.split()[0] for c in kind.split(", ")]
+    return pa.Table.from_pylist(rows, pa.schema([(c, _ARROW[c]) for c in names]))
+
+
+def _scan(length: int, step: int, shards: int, parts: int):
+    """A chunk and what is known of it: the active pairs of ``length``, a block for each part."""
     def run(chunks: pa.Table, known: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64)] * 5
+        out: list[dict[str, object]] = []
         if chunks.num_rows and known.num_rows:
-            held = _Sequence(chunks["payload"][0].as_py())
-            level, left, right, ids, steps = (
-                np.asarray(known[c]).astype(np.int64) for c in ("length", "left", "right", "id", "step"))
-            held.begin(left[level == 1], ids[level == 1], steps[level == 1])
-            for k in range(2, length):
-                mine = level == k
-                held.lengthen(left[mine], right[mine], ids[mine], steps[mine])
-            at, code, start = held.pairs()
+            held, level = _Sequence(chunks["payload"][0].as_py()), np.asarray(known["length"])
+            for k in range(1, length):
+                left, right, ids, steps = _columns(
+                    known.filter(pa.array(level == k)), [*_PAIR, "id", "step"])
+                if k == 1:
+                    held.begin(left, ids, steps)
+                else:
+                    held.lengthen(left, right, ids, steps)
+            _, code, start = held.pairs()
             active = (start <= step) & (step < start + shards)
             pair, first, times = np.unique(code[active], return_index=True, return_counts=True)
             size = max(len(held.known), 1)
-            out = [np.full(len(pair), chunks["chunk"][0].as_py()), held.known[pair // size],
-                   held.known[pair % size], start[active][first], times]
-        return pa.table([pa.array(x, pa.int64()) for x in out],
-                        names=["chunk", "left", "right", "start", "n"])
+            cells = {"left": held.known[pair // size], "right": held.known[pair % size],
+                     "start": start[active][first], "n": times}
+            part = (_spread(cells["left"], cells["right"]) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(cuts)).tolist():
+                at = order[cuts[p]:cuts[p + 1]]
+                out.append(_row({c: v[at] for c, v in cells.items()}, part=p,
+                                chunk=chunks["chunk"][0].as_py()))
+        return _table(out, _SENT)
+
+    return run
+
+
+def _settle(length: int, step: int, shards: int, threshold: int):
+    """A part's state and the blocks of a scan: the state after it. ``fresh`` phrases are new at
+    the threshold; pairs whose cycle has ended below it are gone."""
+    def run(state: pa.Table, sent: pa.Table) -> pa.Table:
+        if not state.num_rows + sent.num_rows:
+            return _table([], _STATE)
+        part = (state if state.num_rows else sent)["part"][0].as_py()
+        names = [*_PAIR, "start", "n"]
+        new = _columns(sent, names)
+        none = np.full(len(new[0]), -1, dtype=np.int64)
+        left, right, start, n, when, ids = map(np.concatenate, zip(
+            _columns(state, [*names, "step", "id"]), [*new, none, none]))
+        order = np.lexsort((right, left))
+        left, right = left[order], right[order]
+        first = np.ones(len(left), dtype=bool)
+        first[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+        at = np.flatnonzero(first)
+        n = np.add.reduceat(n[order], at)
+        start, when, ids = (np.maximum.reduceat(x[order], at) for x in (start, when, ids))
+        fresh = (when < 0) & (n >= threshold)
+        # A number no other phrase has: of scan and length, of part, in the part.
+        base = ((step * 8 + length) << 53) + (part << 33)
+        ids[fresh], when[fresh] = base + np.arange(int(fresh.sum())), step
+        stays = (when >= 0) | (start + shards - 1 > step)
+        cells = {"left": left[at], "right": right[at], "start": start, "n": n, "step": when, "id": ids}
+        return _table([_row({c: v[stays] for c, v in cells.items()}, part=part,
+                            fresh=int(fresh.sum()))], _STATE)
+
+    return run
+
+
+def _tell(length: int, before: int):
+    """A part's state and what chunks have sent: what each chunk holds of the phrases that were at
+    the threshold before this scan."""
+    def run(state: pa.Table, sent: pa.Table) -> pa.Table:
+        out: list[dict[str, object]] = []
+        if state.num_rows and sent.num_rows:
+            left, right, ids, when = _columns(state, [*_PAIR, "id", "step"])
+            there = (when >= 0) & (when < before)
+            hashes = _spread(left[there], right[there])
+            order = np.argsort(hashes)
+            hashes = hashes[order]
+            left, right, ids, when = (x[there][order] for x in (left, right, ids, when))
+            # One, unless phrases share a hash; then all that share it are compared.
+            alike = int(np.unique(hashes, return_counts=True)[1].max(initial=0))
+            for row in range(sent.num_rows if len(hashes) else 0):
+                a, b = _columns(sent.slice(row, 1), _PAIR)
+                own = _spread(a, b)
+                place = np.searchsorted(hashes, own)
+                for k in range(alike):
+                    at = np.minimum(place + k, len(hashes) - 1)
+                    hit = at[(left[at] == a) & (right[at] == b)]
+                    if len(hit):
+                        out.append(_row({"left": left[hit], "right": right[hit], "id": ids[hit],
+                                         "step": when[hit]}, length=length,
+                                        chunk=sent["chunk"][row].as_py()))
+        return _table(out, _KNOWN)
 
     return run
 
 
+def _tell_words(rows: pa.Table) -> pa.Table:
+    """The words of a chunk that have reached the threshold, as one block."""
+    number, ids, when = (np.asarray(rows[c]).astype(np.int64) for c in ("no", "id", "step"))
+    return _table([_row({"left": number, "right": np.zeros(len(number), np.int64), "id": ids,
+                         "step": when}, length=1, chunk=rows["chunk"][0].as_py())], _KNOWN)
+
+
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """States as rows: the phrases at the threshold."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            cells = _columns(pa.Table.from_batches([batch.slice(row, 1)]), [*_PAIR, "id", "n", "step"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[cells[-1] >= 0]) for c in cells[:-1]], [*_PAIR, "id", "n"])
+
+
 class _Tables:
     """Written tables of one run. ``keep`` replaces a table of a name and deletes the one before,
     which no later step reads; ``drop_all`` deletes what is left but the named ones."""
@@ -193,14 +321,6 @@ class _Tables:
                 remove_folder(self.spark, folder)
 
 
-def _numbered(step: int, length: int):
-    """A number no other phrase has: the scan and length before a number inside the table."""
-    return F.lit((step * 8 + length) << 44) + F.monotonically_increasing_id()
-
-
-_PAIR = ["left", "right"]
-
-
 def count_phrases(
     documents: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, lengths: int = LENGTHS,
     text_col: str = "text", lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES,
@@ -227,43 +347,38 @@ def count_phrases(
     words = spark.read.schema(chunks.schema).parquet(written.folders["chunks"]).select(
         "shard", "chunk", F.inline("words"))
 
-    reached: dict[int, DataFrame] = {}              # phrases at the threshold, by length
+    size = words.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-size // PART_WORDS))
+    state: dict[int, DataFrame] = {}                # by length
     new: defaultdict[tuple[int, int], int] = defaultdict(int)  # how many, by (length, scan)
-    pending: dict[int, DataFrame] = {}              # pairs in their cycle, by length
     sent: defaultdict[tuple[int, int], list[DataFrame]] = defaultdict(list)  # by (shard, length)
-
-    def settle(length: int, step: int, counted: DataFrame, keys: list[str]) -> None:
-        """Adds a scan's counts to what is known and finds what has reached the threshold."""
-        known = [counted]
-        for table in (pending.get(length), reached.get(length)):
-            if table is not None:
-                known.append(table)
-        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known)
-        cells = {c: F.max(c).alias(c) for c in ("start", "step", "id")}
-        state = merged.groupBy(*keys).agg(
-            F.sum("n").alias("n"), *[cells[c] if c in merged.columns else F.lit(None).cast("long").alias(c)
-                                     for c in cells])
+    none = spark.createDataFrame([], _STATE)
+
+    def settle_words(step: int) -> None:
+        """A word's cycle begins with the first scan."""
+        counted = words.where(F.col("shard") == step).select("lang", "word", "n")
+        for c in ("step", "id"):
+            counted = counted.withColumn(c, F.lit(None).cast("long"))
+        known = counted.unionByName(state[1]) if 1 in state else counted
         reaches = F.col("step").isNull() & (F.col("n") >= threshold)
-        state = written.keep(f"state {length}", state.where(
-            F.col("step").isNotNull() | reaches | (F.col("start") + shards - 1 > step)
-        ).withColumn("id", F.when(reaches, _numbered(step, length)).otherwise(F.col("id")))
-            .withColumn("step", F.when(reaches, F.lit(step).cast("long")).otherwise(F.col("step"))))
-        reached[length] = written.keep(f"reached {length}", state.where("step is not null"))
-        pending[length] = state.where("step is null").drop("step", "id")
-        new[length, step] = reached[length].where(F.col("step") == step).count()
+        number = F.lit((step * 8 + 1) << 53) + F.monotonically_increasing_id()
+        state[1] = written.keep("words", known.groupBy("lang", "word").agg(
+            *[f(c).alias(c) for c, f in (("n", F.sum), ("step", F.max), ("id", F.max))]
+        ).withColumn("id", F.when(reaches, number).otherwise(F.col("id"))).withColumn(
+            "step", F.when(reaches, F.lit(step).cast("long")).otherwise(F.col("step"))))
+        new[1, step] = state[1].where(F.col("step") == step).count()
 
     def known(shard: int, length: int, before: int) -> DataFrame:
-        """The phrases at the threshold before this scan, wherever a chunk of the shard holds them."""
-        table = reached[length].where(F.col("step") < before)
+        """What each chunk of the shard holds of the phrases at the threshold before this scan."""
         if length == 1:
-            rows = words.where(F.col("shard") == shard).join(
-                table.drop("n", "start"), ["lang", "word"]).select(
-                "chunk", F.col("no").alias("left"), F.lit(0).cast("long").alias("right"), "id", "step")
+            table = state[1].where(F.col("step") < before).drop("n")
+            told = words.where(F.col("shard") == shard).join(table, ["lang", "word"]).select(
+                "chunk", "no", "id", "step").groupBy("chunk").applyInArrow(_tell_words, _KNOWN)
         else:
-            held = [s.select("chunk", *_PAIR) for s in sent[shard, length]]
-            rows = reduce(DataFrame.unionByName, held).join(
-                table.select(*_PAIR, "id", "step"), _PAIR).select("chunk", *_PAIR, "id", "step")
-        return rows.select(F.lit(length).alias("length"), "*")
+            held = reduce(DataFrame.unionByName, sent[shard, length]).select("part", "chunk", *_PAIR)
+            told = state[length].groupBy("part").cogroup(held.groupBy("part")).applyInArrow(
+                _tell(length, before), _KNOWN)
+        return written.keep(f"known {length}", told)
 
     def live(length: int, step: int) -> bool:
         """Whether a phrase of ``length`` may be in its cycle at this scan."""
@@ -272,41 +387,41 @@ def count_phrases(
     step = 0
     while step < shards or any(live(k, s) for k in range(2, lengths + 1)
                                for s in range(step, step + shards)):
-        shard = step % shards
-        if step < shards:
-            # A word's cycle begins with the first scan.
-            settle(1, step, words.where(F.col("shard") == shard).select(
-                "lang", "word", "n", F.lit(0).cast("long").alias("start")), ["lang", "word"])
+        shard, counted = step % shards, {}
         active = [k for k in range(2, lengths + 1) if live(k, step)]
         told: list[DataFrame] = []
         for length in range(2, max(active, default=1) + 1):
-            if length > 2 and not (sent[shard, length - 1] and length - 1 in reached):
+            if length > 2 and (length - 1 not in state or not sent[shard, length - 1]):
                 break
             told.append(known(shard, length - 1, step))
-            if length not in active:
-                continue
-            rows = written.keep(f"sent {shard} {length} {step}", chunks.where(
-                F.col("shard") == shard).select("chunk", "payload").groupBy("chunk").cogroup(
-                reduce(DataFrame.unionByName, told).groupBy("chunk")).applyInArrow(
-                _scan(length, step, shards), "chunk long, left long, right long, start long, n long"))
-            sent[shard, length].append(rows)
-        for length in active:
-            if sent[shard, length] and f"sent {shard} {length} {step}" in written.folders:
-                settle(length, step, sent[shard, length][-1].drop("chunk"), _PAIR)
+            if length in active:
+                counted[length] = written.keep(f"sent {shard} {length} {step}", chunks.where(
+                    F.col("shard") == shard).select("chunk", "payload").groupBy("chunk").cogroup(
+                    reduce(DataFrame.unionByName, told).groupBy("chunk")).applyInArrow(
+                    _scan(length, step, shards, parts), _SENT))
+                sent[shard, length].append(counted[length])
+        if step < shards:
+            settle_words(step)
+        for length, blocks in counted.items():
+            state[length] = written.keep(f"state {length}", state.get(length, none).groupBy(
+                "part").cogroup(blocks.groupBy("part")).applyInArrow(
+                _settle(length, step, shards, threshold), _STATE))
+            new[length, step] = state[length].agg(F.sum("fresh")).first()[0] or 0
         step += 1
 
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
     heads = F.array(F.col("n"))
-    named = {1: reached[1].select(
+    named = {1: state[1].where("step is not null").select(
         "id", F.lit(1).alias("length"), "lang", F.col("word").alias("phrase"), "n",
         *[F.lit(None).cast("long").alias(c) for c in _PAIR], heads.alias("heads"),
         heads.alias("tails"), F.col("word").alias("last"))}
     for length in range(2, lengths + 1):
-        if length not in reached:
+        if length not in state:
             break
         first = named[length - 1].select(F.col("id").alias("left"), "lang", "phrase", "heads")
         rest = named[length - 1].select(F.col("id").alias("right"), "tails", "last")
-        named[length] = reached[length].select(*_PAIR, "id", "n").join(first, "left").join(
+        named[length] = state[length].mapInArrow(
+            _phrases, "left long, right long, id long, n long").join(first, "left").join(
             rest, "right").select(
             "id", F.lit(length).alias("length"), "lang",
             F.concat_ws(" ", "phrase", "last").alias("phrase"), "n", *_PAIR,
