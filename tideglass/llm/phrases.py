@@ -351,7 +351,8 @@ def count_phrases(
     parts = max(1, -(-size // PART_WORDS))
     state: dict[int, DataFrame] = {}                # by length
     new: defaultdict[tuple[int, int], int] = defaultdict(int)  # how many, by (length, scan)
-    sent: defaultdict[tuple[int, int], list[DataFrame]] = defaultdict(list)  # by (shard, length)
+    # What chunks have sent and is not settled, by (shard, length) and scan.
+    sent: defaultdict[tuple[int, int], dict[int, DataFrame]] = defaultdict(dict)
     none = spark.createDataFrame([], _STATE)
 
     def settle_words(step: int) -> None:
@@ -368,17 +369,36 @@ def count_phrases(
             "step", F.when(reaches, F.lit(step).cast("long")).otherwise(F.col("step"))))
         new[1, step] = state[1].where(F.col("step") == step).count()
 
-    def known(shard: int, length: int, before: int) -> DataFrame:
-        """What each chunk of the shard holds of the phrases at the threshold before this scan."""
+    settled: defaultdict[tuple[int, int], list[DataFrame]] = defaultdict(list)
+
+    def tell(length: int, step: int, held: DataFrame) -> DataFrame:
+        return state[length].groupBy("part").cogroup(
+            held.select("part", "chunk", *_PAIR).groupBy("part")).applyInArrow(
+            _tell(length, step), _KNOWN)
+
+    def known(shard: int, length: int, step: int) -> DataFrame:
+        """What each chunk of the shard holds of the phrases at the threshold before this scan.
+
+        What was sent a cycle ago or earlier is settled: its pairs have ended their cycles, and
+        what it told of them stands from then on. So do all words after the first cycle.
+        """
         if length == 1:
-            table = state[1].where(F.col("step") < before).drop("n")
-            told = words.where(F.col("shard") == shard).join(table, ["lang", "word"]).select(
-                "chunk", "no", "id", "step").groupBy("chunk").applyInArrow(_tell_words, _KNOWN)
-        else:
-            held = reduce(DataFrame.unionByName, sent[shard, length]).select("part", "chunk", *_PAIR)
-            told = state[length].groupBy("part").cogroup(held.groupBy("part")).applyInArrow(
-                _tell(length, before), _KNOWN)
-        return written.keep(f"known {length}", told)
+            if not settled[shard, 1]:
+                table = state[1].where(F.col("step") < step).drop("n")
+                told = written.keep(f"words of {shard}", words.where(F.col("shard") == shard).join(
+                    table, ["lang", "word"]).select("chunk", "no", "id", "step").groupBy(
+                    "chunk").applyInArrow(_tell_words, _KNOWN))
+                if step < shards:
+                    return told
+                settled[shard, 1].append(told)
+            return settled[shard, 1][0]
+        for at in sorted(s for s in sent[shard, length] if s < step):
+            settled[shard, length].append(written.keep(
+                f"settled {shard} {length} {at}", tell(length, step, sent[shard, length].pop(at))))
+        tables = list(settled[shard, length])
+        if step in sent[shard, length]:
+            tables.append(written.keep(f"known {length}", tell(length, step, sent[shard, length][step])))
+        return reduce(DataFrame.unionByName, tables)
 
     def live(length: int, step: int) -> bool:
         """Whether a phrase of ``length`` may be in its cycle at this scan."""
@@ -391,7 +411,8 @@ def count_phrases(
         active = [k for k in range(2, lengths + 1) if live(k, step)]
         told: list[DataFrame] = []
         for length in range(2, max(active, default=1) + 1):
-            if length > 2 and (length - 1 not in state or not sent[shard, length - 1]):
+            if length > 2 and (length - 1 not in state or not (
+                    sent[shard, length - 1] or settled[shard, length - 1])):
                 break
             told.append(known(shard, length - 1, step))
             if length in active:
@@ -399,7 +420,7 @@ def count_phrases(
                     F.col("shard") == shard).select("chunk", "payload").groupBy("chunk").cogroup(
                     reduce(DataFrame.unionByName, told).groupBy("chunk")).applyInArrow(
                     _scan(length, step, shards, parts), _SENT))
-                sent[shard, length].append(counted[length])
+                sent[shard, length][step] = counted[length]
         if step < shards:
             settle_words(step)
         for length, blocks in counted.items():
