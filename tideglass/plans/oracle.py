@@ -697,6 +697,9 @@ from kpis k left join named n
 {_whole(_DAILY_CARD, "timestamp '2024-01-02'")}""",
     "run_backfill_whole": f"""with {_BACKFILL},{_template('kpis')}
 {_whole(_BACKFILL_CARD, "timestamp '2024-01-01'")}""",
+    "run_backfill_stored": f"""with {_BACKFILL},{_template('kpis')}
+{_whole(_BACKFILL_CARD, "timestamp '2024-01-01'",
+        "where t.insight_date >= (select d0 + 365 from span)")}""",
     "insight_holes": f"""with {_BACKFILL},{_template('kpis')}
 {_whole(_BACKFILL_CARD, where="where t.insight_type = 'Total' and day(t.insight_date) = 1 "
                               "or t.insight_date = date '1995-06-15'")}""",

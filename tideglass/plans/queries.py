@@ -666,6 +666,14 @@ def run_backfill_whole(spark: SparkSession, sf: str) -> DataFrame:
     return _whole(run_backfill(spark, _job_tables(spark, sf), now=FIRST_RUN))
 
 
+def run_backfill_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The historical job from the second year on, as its table has it afterwards; the whole span
+    is ``run_backfill_whole``."""
+    first, _ = tables.order_span(spark, sf)
+    start = date.fromordinal(first.toordinal() + 365)
+    return _whole(run_backfill(spark, _job_tables(spark, sf), start=start, now=FIRST_RUN))
+
+
 def _stored_totals(spark: SparkSession, named: Tables) -> tuple[DataFrame, DataFrame]:
     store_totals(spark, named)
     return read_totals(spark, named.purchase_totals), read_totals(spark, named.attribution_totals)
@@ -851,6 +859,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "generated_insights": generated_insights,
     "run_latest_stored": run_latest_stored,
     "run_backfill_whole": run_backfill_whole,
+    "run_backfill_stored": run_backfill_stored,
     "insight_holes": insight_holes,
     "insight_changes": insight_changes,
     "window_sums_at": window_sums_at,
