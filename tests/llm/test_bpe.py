@@ -44,6 +44,30 @@ def test_a_table_that_changes_between_readings_is_an_error():
         list(chunk.documents())
 
 
+def test_decoding_by_the_token_table(spark, reference):
+    ids = reference.encode_ordinary("naïve \u00a0 text\n\n") * 3
+    given = spark.createDataFrame(
+        [(1, np.array(ids, "<u4").tobytes()), (2, b""), (None, None), (2, b"\x05\0\0\0")],
+        "doc_id long, ids binary")
+    got = {(r.doc_id, r.ids): bytes(r.decoded) for r in bpe.decode(given, RANKS).collect()}
+    assert got == {(1, np.array(ids, "<u4").tobytes()): reference.decode_bytes(ids), (2, b""): b"",
+                   (None, None): b"", (2, b"\x05\0\0\0"): reference.decode_bytes([5])}
+    with pytest.raises(Exception, match="an id without a token"):
+        bpe.decode(spark.createDataFrame([(1, b"\xff\xff\xff\x7f")], "doc_id long, ids binary"),
+                   RANKS).collect()
+
+
+def test_parts_follow_the_text_and_small_memory_of_words(spark, tmp_path, monkeypatch, reference):
+    monkeypatch.setattr(bpe, "PART_BYTES", 100)
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 2_000)
+    rows = [(i, f"w{i} w{i % 7} straße {i % 3}" * (i % 9), "de", "s") for i in range(400)]
+    folder = str(tmp_path / "docs")
+    docs(spark, rows).drop("hash").write.parquet(folder)
+    got = bpe.encode(spark.read.parquet(folder), RANKS, public_tokenizers.PATTERN).collect()
+    assert {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got} \
+        == {r[0]: reference.encode_ordinary(r[1]) for r in rows} and len(got) == 400
+
+
 def test_empty_table(spark):
     assert bpe.encode(docs(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 

@@ -48,3 +48,10 @@ def by_frequency(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     rank = np.empty(n, dtype=np.uint32)
     rank[order] = np.arange(n, dtype=np.uint32)
     return rank[numbers], order
+
+
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` with the numbers ``which``, one after the other."""
+    sizes = size[which]
+    upto = np.cumsum(sizes)
+    return flat[np.repeat(start[which] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
