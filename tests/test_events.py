@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tideglass.functions.scalars import micros_to_ntz, ntz_text, ntz_to_micros
 from tideglass.operators.quality import check_param_keys
 from tideglass.schemas import FLAT_EVENT, RAW_EVENT
+from tideglass.sources import events
 from tideglass.sources.events import explode_items, flatten_events, flatten_params, scan_events
 from tideglass.sources.lake import replace_table
 
@@ -127,3 +128,18 @@ def test_hot_user_keeps_all_pairs(spark):
     raw = spark.createDataFrame(hot + cold, RAW_EVENT)
     assert flatten_events(raw, mode="keyjoin").count() == 40 * 40 + 80
     assert flatten_events(raw).count() == 120
+
+
+def test_keyjoin_sends_items_once_and_repeats_those_of_hot_keys_alone(spark, monkeypatch):
+    """Items used to be exploded and repeated eight times before the shuffle, whatever their key."""
+    monkeypatch.setattr(events, "HOT_EVENTS", 30)
+    hot = [event(micros=i, user="hot", items=[HAT, None] if i % 2 else []) for i in range(40)]
+    cold = [event(micros=i, user=f"u{i % 40}", items=[MUG]) for i in range(80)]
+    unknown = [event(micros=i, user=None, items=[HAT]) for i in range(40)]
+    raw = spark.createDataFrame(hot + cold + unknown, RAW_EVENT)
+    got = flatten_events(raw, mode="keyjoin")
+    pairs = flatten_params(raw).join(explode_items(raw), ["event_dt", "event_name", "user_pseudo_id"], "left")
+    assert sorted(map(str, got.collect())) == sorted(map(str, pairs.select(*got.columns).collect()))
+    assert got.count() == 40 * 40 + 40 * 2 * 2 + 40
+    before = got._jdf.queryExecution().optimizedPlan().toString().split("Join ")[1]
+    assert "explode(items" not in before and "explode(sequence" not in before

@@ -9,6 +9,10 @@ from tideglass.schemas import FLAT_EVENT, ITEM, RAW_EVENT
 
 ITEM_COLUMNS = ITEM.fieldNames()
 
+HOT_EVENTS = 1_000      # of one key of the key join, from which on they are dealt
+HOT_BUCKETS = 10_000    # as many hash buckets of keys, the largest, the driver is told of
+BUCKETS = 1 << 18
+
 
 def scan_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
     """Raw events of the days ``start``..``end`` ('yyyyMMdd', inclusive).
@@ -72,6 +76,13 @@ def explode_items(raw: DataFrame) -> DataFrame:
     ).select("event_dt", "event_name", "user_pseudo_id", *[f"item.{c}" for c in ITEM_COLUMNS])
 
 
+def _hot_buckets(raw: DataFrame, bucket: Column) -> list[int]:
+    """The buckets with HOT_EVENTS or more, the largest first and HOT_BUCKETS at most. One scan of
+    the key, and a shuffle of a count for each bucket and task."""
+    counted = raw.groupBy(bucket.alias("bucket")).count().where(F.col("count") >= HOT_EVENTS)
+    return [r.bucket for r in counted.orderBy(F.desc("count"), "bucket").limit(HOT_BUCKETS).collect()]
+
+
 def flatten_events(
     raw: DataFrame, start: str | None = None, end: str | None = None, mode: str = "explode",
     salt: int = 8,
@@ -84,9 +95,11 @@ def flatten_events(
                  so an event meets the items of all same-named events its user had that day, and
                  the result grows with the product of the two sides. That product is the defined
                  content of the older table, so nothing is left out here; use it only to
-                 reproduce that table. The events of a key are dealt over ``salt`` join keys and
-                 its items repeated for each, so that a hot key is worked on by ``salt`` tasks;
-                 raise it with the largest key's share of the rows.
+                 reproduce that table. Items travel as the arrays they came in, once, and are
+                 exploded after the join. The events of a hot key are dealt over ``salt`` join keys
+                 and its items repeated for each, so that it is worked on by ``salt`` tasks; raise
+                 it with the largest key's share of the rows. Which keys are hot is counted first,
+                 which runs a job.
     """
     raw = days_between(raw, start, end)
     if mode == "explode":
@@ -94,11 +107,18 @@ def flatten_events(
             "*", *[f"item.{c}" for c in ITEM_COLUMNS]
         )
     elif mode == "keyjoin":
-        dealt = flatten_params(raw).withColumn(
-            "_salt", F.pmod(F.xxhash64("event_timestamp", "ga_session_id"), F.lit(salt)).cast("int"))
-        items = explode_items(raw).withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        flat = dealt.join(items, ["event_dt", "event_name", "user_pseudo_id", "_salt"], "left")
+        key = ["event_dt", "event_name", "user_pseudo_id"]
+        bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+        keyed = raw.withColumn("event_dt", parse_day(F.col("event_date")))
+        is_hot = bucket.isin(_hot_buckets(keyed, bucket))
+        one_of = F.pmod(F.xxhash64("event_timestamp", "ga_session_id"), F.lit(salt)).cast("int")
+        dealt = flatten_params(raw).withColumn("_salt", F.when(is_hot, one_of).otherwise(0))
+        items = keyed.where(F.size("items") > 0).select(*key, "items", F.explode(
+            F.when(is_hot, F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
+        ).alias("_salt"))
+        flat = dealt.join(items, [*key, "_salt"], "left").select(
+            *dealt.columns, F.explode_outer("items").alias("item")
+        ).select("*", *[f"item.{c}" for c in ITEM_COLUMNS])
     else:
         raise ValueError(f"unknown flatten mode {mode!r}")
     return flat.select(*FLAT_EVENT.fieldNames())
