@@ -4,14 +4,15 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tideglass.functions.keys import channel_key
+from tideglass.functions.keys import EVENT_HASH, channel_key
 from tideglass.operators import quality
 from tideglass.operators.marts import (
     attribution_daily, date_span, date_spine, dense_series, dim_channel, purchase_lines,
     purchases_daily, reconcile, shorten_labels, span_of, star, strict_revenue, zero_fill,
 )
 from tideglass.operators.staging import dedup, newest_first, stage_events, standardise, with_row_key
-from tideglass.schemas import FLAT_EVENT, STAGED_EVENT
+from tideglass.schemas import FLAT_EVENT, RAW_EVENT, STAGED_EVENT
+from tideglass.sources.events import flatten_events
 
 AT = datetime(2020, 12, 1, 10, 0, 0, 5)
 
@@ -177,3 +178,29 @@ def test_labels(spark):
     df = spark.createDataFrame([("redacted",), ("google",), (None,)], "source string")
     labels = {r.source: r.source_label for r in shorten_labels(df, {"redacted": "Private"}).collect()}
     assert labels == {"redacted": "Private", "google": "google", None: None}
+
+
+def test_dealt_events_are_staged_without_another_shuffle(spark):
+    """Rows of items used to be shuffled once more, each with its key and all columns."""
+    item = [("h", "Hat", "Wear", 10.0, 2), ("m", "Mug", "Home", None, 1), ("|x", "X", "X", 3.0, 1)]
+
+    def event(at, name="Purchase", user="u1", session=7, items=item, source="google"):
+        params = None if session is None else [("ga_session_id", (None, session))]
+        return ("20201201", at, name, user, ("NL", "UT"), ("mobile",), (source, "cpc", "sale"), params, items)
+
+    rows = [event(1), event(1), event(1, name="PURCHASE", source="bing"), event(2), event(None), event(None),
+            event(1, user="a|5", session=None, items=[("x", "Hat", "Wear", 9.0, 2)]),
+            event(1, user="a", session=5), event(1, user=None, session=None), event(1, user="", session=None),
+            event(3, name="a|b", user="c"), event(3, name="a", user="b|c"), event(4, items=None), event(5, items=[])]
+    raw = spark.createDataFrame(rows, RAW_EVENT).repartition(3)
+    for names in (None, ["purchase"]):
+        plain = stage_events(flatten_events(raw), names)
+        dealt = stage_events(flatten_events(raw, deal_by=[EVENT_HASH]), names)
+        assert dealt.schema == plain.schema
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+        plan = dealt._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan[:plan.index("explode(items")].count("Exchange") == 0
+    by_line = flatten_events(raw, deal_by=["event_dt", "user_pseudo_id", "ga_session_id"])
+    assert by_line.schema == flatten_events(raw).schema
+    assert strict_revenue(standardise(by_line)).collect() \
+        == strict_revenue(standardise(flatten_events(raw))).collect()

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tideglass.functions.keys import row_key
+from tideglass.functions.keys import EVENT_HASH, row_key
 from tideglass.functions.scalars import blank_to_null
 from tideglass.schemas import CHANNEL, FLAT_EVENT, STAGED_EVENT
 
 
 def standardise(flat: DataFrame) -> DataFrame:
-    """The eighteen columns with their types, lower-case event names, blank channel parts NULL."""
+    """The eighteen columns with their types, lower-case event names, blank channel parts NULL; and
+    EVENT_HASH, if the flat table has it."""
     cleaned = {"event_name": F.lower("event_name")}
     cleaned |= {c: blank_to_null(F.col(c)) for c in CHANNEL}
     typed = {
@@ -21,7 +22,7 @@ def standardise(flat: DataFrame) -> DataFrame:
     typed["event_ts"] = typed.pop("event_timestamp")
     return flat.select(*[
         typed[name].alias(name) for name in STAGED_EVENT.fieldNames() if name != "row_key"
-    ])
+    ], *[c for c in flat.columns if c == EVENT_HASH])
 
 
 def with_row_key(staged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -43,7 +44,7 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFra
 def newest_first(df: DataFrame) -> list[Column]:
     """``event_ts`` descending, then every other column. The timestamp is part of the row key,
     so by itself it leaves all copies tied; the other columns make the survivor reproducible."""
-    rest = [c for c in df.columns if c not in ("event_ts", "row_key")]
+    rest = [c for c in df.columns if c not in ("event_ts", "row_key", EVENT_HASH)]
     return [F.desc_nulls_last("event_ts"), *[F.asc_nulls_last(c) for c in rest]]
 
 
@@ -53,9 +54,13 @@ def stage_events(flat: DataFrame, event_names: Sequence[str] | None = None) -> D
     ``event_names`` (lower case) restricts it to some kinds of event. The name is part of the row
     key, so copies share it and the restriction may come first: only those events are sorted and
     shuffled, and the filter moves on below the flattening.
+
+    A flat table dealt by EVENT_HASH is not shuffled again: rows of a row key share the hash. Copies
+    of one event are then in one task from the dealing on, and none is left out before it.
     """
     typed = standardise(flat)
     if event_names is not None:
         typed = typed.where(F.col("event_name").isin(*event_names))
     keyed = with_row_key(typed)
-    return dedup(keyed, ["row_key"], newest_first(keyed)).select(*STAGED_EVENT.fieldNames())
+    key = [c for c in (EVENT_HASH, "row_key") if c in keyed.columns]
+    return dedup(keyed, key, newest_first(keyed)).select(*STAGED_EVENT.fieldNames())

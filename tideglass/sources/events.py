@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tideglass.functions.keys import EVENT_HASH, event_hash
 from tideglass.functions.scalars import micros_to_ntz, parse_day
 from tideglass.schemas import FLAT_EVENT, ITEM, RAW_EVENT
 
@@ -12,6 +15,7 @@ ITEM_COLUMNS = ITEM.fieldNames()
 HOT_EVENTS = 1_000      # of one key of the key join, from which on they are dealt
 HOT_BUCKETS = 10_000    # as many hash buckets of keys, the largest, the driver is told of
 BUCKETS = 1 << 18
+DEALT_EVENTS = 200_000  # for each task that events are dealt to, before their items are exploded
 
 
 def scan_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
@@ -83,14 +87,23 @@ def _hot_buckets(raw: DataFrame, bucket: Column) -> list[int]:
     return [r.bucket for r in counted.orderBy(F.desc("count"), "bucket").limit(HOT_BUCKETS).collect()]
 
 
+def _tasks(raw: DataFrame) -> int:
+    at_least = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(at_least, -(-raw.count() // DEALT_EVENTS))
+
+
 def flatten_events(
     raw: DataFrame, start: str | None = None, end: str | None = None, mode: str = "explode",
-    salt: int = 8,
+    salt: int = 8, deal_by: Sequence[str] = (),
 ) -> DataFrame:
     """The 18-column flat table for one range of days, used for events and items alike.
 
     ``explode``  each event with its own items; events without items keep one row with NULL item
-                 columns. A narrow plan: no join, no shuffle.
+                 columns. A narrow plan: no join, no shuffle. With ``deal_by`` (event columns, or
+                 EVENT_HASH, which the flat table then has too) events are shuffled by those
+                 before their items are exploded, so that a later step whose keys hold them, as
+                 the de-duplication or a distinct, shuffles no rows of items. It counts the events
+                 first, to deal DEALT_EVENTS to a task; rows alike in ``deal_by`` share a task.
     ``keyjoin``  events joined to items on (day, event name, user). The key holds no timestamp,
                  so an event meets the items of all same-named events its user had that day, and
                  the result grows with the product of the two sides. That product is the defined
@@ -103,7 +116,12 @@ def flatten_events(
     """
     raw = days_between(raw, start, end)
     if mode == "explode":
-        flat = raw.select(*event_columns(), F.explode_outer("items").alias("item")).select(
+        events = raw.select(*event_columns(), "items")
+        if deal_by:
+            if EVENT_HASH in deal_by:
+                events = events.withColumn(EVENT_HASH, event_hash(events, "event_timestamp"))
+            events = events.repartition(_tasks(raw), *deal_by)
+        flat = events.select("*", F.explode_outer("items").alias("item")).select(
             "*", *[f"item.{c}" for c in ITEM_COLUMNS]
         )
     elif mode == "keyjoin":
@@ -121,4 +139,4 @@ def flatten_events(
         ).select("*", *[f"item.{c}" for c in ITEM_COLUMNS])
     else:
         raise ValueError(f"unknown flatten mode {mode!r}")
-    return flat.select(*FLAT_EVENT.fieldNames())
+    return flat.select(*FLAT_EVENT.fieldNames(), *[c for c in deal_by if c == EVENT_HASH])
