@@ -54,3 +54,10 @@ def test_no_nested_loops(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "PythonUDF" not in plan
+
+
+def test_attribution_from_events_shuffles_no_rows_of_items(spark):
+    found = QUERIES["attribution_from_events"](spark, SF_DIR)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    staged = plan[plan.index("WindowGroupLimit"):plan.index("explode(items")]
+    assert "Exchange" not in staged

@@ -319,7 +319,7 @@ def fct_attribution_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attribution_from_events(spark: SparkSession, sf: str) -> DataFrame:
-    flat = events.flatten_events(tables.raw_events(spark, sf))
+    flat = events.flatten_events(tables.raw_events(spark, sf), deal_by=[EVENT_HASH])
     lines = purchase_lines(staging.stage_events(flat, ["purchase"]))
     return _as_double(attribution_daily(lines), "revenue")
 
