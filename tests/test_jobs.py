@@ -196,3 +196,20 @@ def test_generator_behind_the_gate(spark, tables, tmp_path):
     raw = asked.where("insight_type = 'Total'").select(
         F.variant_get("raw_response", "$.bullets[0]", "string")).first()[0]
     assert raw == " one "                            # kept as parsed, before tidying
+
+
+def test_facts_are_computed_once_for_the_holes(spark, monkeypatch):
+    """They used to be computed for the history, and once more for the tables of the job."""
+    from tideglass.plans import driver_tables, queries
+
+    asked = []
+    facts = spark.sql(
+        "select date'2021-01-04' as date, cast(null as string) as source, 'm' as medium, 'c' as campaign, "
+        "cast(5 as decimal(30,6)) as revenue, 1L as orders, 5d as aov")
+    monkeypatch.setattr(driver_tables, "purchases", lambda *a: asked.append("purchases") or facts.select(
+        "date", "revenue", "orders", "aov"))
+    monkeypatch.setattr(driver_tables, "attribution", lambda *a: asked.append("attribution") or facts.drop("aov"))
+    monkeypatch.setattr(driver_tables, "order_span", lambda *a: (date(2021, 1, 1), date(2021, 1, 5)))
+    rows = queries.insight_holes(spark, "").collect()
+    assert [(r.insight_date, r.insight_type) for r in rows] == [(date(2021, 1, 1), "Total")]
+    assert sorted(asked) == ["attribution", "purchases"]

@@ -688,11 +688,12 @@ def _stored_totals(spark: SparkSession, named: Tables) -> tuple[DataFrame, DataF
 def insight_holes(spark: SparkSession, sf: str) -> DataFrame:
     """A table that lost the Total insight of every first of a month and all of one day: those,
     and only those, are built again, from stored running totals."""
-    stored = historical_insights(*_facts(spark, sf)).where(
+    named, span = _job_tables(spark, sf), tables.order_span(spark, sf)
+    facts = [spark.read.parquet(p) for p in (named.purchases, named.attribution)]
+    stored = historical_insights(*facts, span).where(
         ~((F.col("insight_type") == "Total") & (F.dayofmonth("insight_date") == 1))
         & (F.col("insight_date") != "1995-06-15"))
-    totals = _stored_totals(spark, _job_tables(spark, sf))
-    return _whole(missing_insights(*totals, tables.order_span(spark, sf), stored))
+    return _whole(missing_insights(*_stored_totals(spark, named), span, stored))
 
 
 def insight_changes(spark: SparkSession, sf: str) -> DataFrame:
