@@ -2,6 +2,7 @@ import collections
 import math
 import re
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import AWKWARD, docs
@@ -53,3 +54,28 @@ def test_long_texts_and_empty_tables(spark):
     got = {r.doc_id: r for r in score_documents(docs(spark, AWKWARD)).collect()}
     assert got[8].n_words == 40_000 and got[9].n_words == 1 and got[1].units == 0
     assert score_documents(docs(spark, [])).count() == 0
+
+
+def test_blocks_hold_quotients_and_chunks_are_not_stored(spark, monkeypatch):
+    """Chunks were written, and blocks held whole hashes, whose remainder their part tells."""
+    assert not hasattr(backoff, "stage")
+    rows = [(i, f"a{i} b{i % 7} c{i % 3}", "en", "s") for i in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    monkeypatch.setattr(backoff.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    whole = next(backoff._cut(iter([batch]))).to_pylist()[0]
+    grams = backoff._Chunk(whole["words"], whole["payload"], whole["lengths"], 3).grams
+    sent = [b.to_pylist()[0] for b in backoff._explode(3, 5)(iter([batch]))]
+    assert sorted(g for b in sent for g in (backoff._unpack_sorted(b["grams"]) * 5 + b["part"]).tolist()) \
+        == [g for g in grams.tolist() if g]
+    assert {b["check"] for b in sent} == {whole["check"]}
+
+
+def test_a_table_that_reads_differently_is_an_error(spark):
+    def random_text(batches):
+        import uuid
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text": [uuid.uuid4().hex] * b.num_rows})
+
+    unsteady = spark.range(20).mapInArrow(random_text, "doc_id long, text string")
+    with pytest.raises(Exception, match="another order"):
+        score_documents(unsteady).collect()

@@ -3,7 +3,9 @@
 The n-grams of a document are scored with the counts of all other documents: the document's own
 occurrences are taken off, as otherwise every n-gram would be known. The relations are blocked:
 
-1. Texts become chunks (see ``chunks``) of word sequences, written once.
+1. Texts become chunks (see ``chunks``) of word sequences. They are made again for step 4 when the
+   table is read again, which costs less disk than storing them; both sides carry a digest of the
+   chunk, so a table that does not give the same rows in the same order again is an error.
 2. Each chunk explodes its n-grams of all orders into distinct 64-bit hashes with counts and deals
    them by hash into parts: the partitions of the count table.
 3. A part adds up the counts of all chunks and joins the sums back to every chunk's n-grams.
@@ -12,6 +14,7 @@ occurrences are taken off, as otherwise every n-gram would be known. The relatio
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideglass.llm import texts
 from tideglass.llm.chunks import CHUNK_BYTES, by_frequency, pack, unpack
-from tideglass.sources.workspace import stage
 
 ORDER = 3
 ALPHA = 0.4
@@ -42,7 +44,22 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
-_CHUNK = "chunk long, part int, words binary, payload binary, doc_ids array<long>, lengths array<int>"
+_CHUNK = ("chunk long, check long, part int, words binary, payload binary, doc_ids array<long>, "
+          "lengths array<int>")
+_OTHER_ROWS = "the table gave other rows, or another order, when read again"
+
+
+def _check(*held: bytes) -> int:
+    """What a chunk holds, as a number: the two readings of a table must agree in it."""
+    digest = hashlib.blake2b(digest_size=8)
+    for data in held:
+        digest.update(len(data).to_bytes(8, "little") + data)
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = sum(len(texts.word_spans(*texts.utf8(part.column(0)))[0]) for part in texts.slices(batches, 0))
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,12 +69,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         words, numbers = np.unique(np.concatenate(hashes), return_inverse=True)
         renamed, order = by_frequency(numbers, len(words))
+        known, payload, sizes = words[order].astype("<u8").tobytes(), pack(renamed), np.concatenate(lengths)
+        check = _check(known, payload, sizes.astype("<i8").tobytes(), repr(ids).encode())
         return pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()),
-             pa.array([words[order].astype("<u8").tobytes()], pa.binary()),
-             pa.array([pack(renamed)], pa.binary()), pa.array([ids], pa.list_(pa.int64())),
-             pa.array([np.concatenate(lengths)], pa.list_(pa.int32()))],
-            ["chunk", "part", "words", "payload", "doc_ids", "lengths"])
+            [pa.array([chunk], pa.int64()), pa.array([check], pa.int64()), pa.array([-1], pa.int32()),
+             pa.array([known], pa.binary()), pa.array([payload], pa.binary()),
+             pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32()))],
+            ["chunk", "check", "part", "words", "payload", "doc_ids", "lengths"])
 
     for part in texts.slices(batches, 1):
         data, bounds = texts.utf8(part.column(1))
@@ -103,8 +121,9 @@ class _Chunk:
 
 
 def _explode(order: int, parts: int):
+    """Texts to blocks of n-grams. A part is a remainder of the hash, so its blocks hold quotients."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches):
             for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 chunk = _Chunk(row["words"], row["payload"], row["lengths"], order)
                 count = np.bincount(chunk.where.ravel(), minlength=len(chunk.grams))
@@ -114,38 +133,40 @@ def _explode(order: int, parts: int):
                 for p in np.flatnonzero(np.diff(cuts)):
                     at = by_part[cuts[p]:cuts[p + 1]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["chunk"]], pa.int64()), pa.array([p], pa.int32()),
-                         pa.array([_pack_sorted(chunk.grams[at])], pa.binary()),
+                        [pa.array([row["chunk"]], pa.int64()), pa.array([row["check"]], pa.int64()),
+                         pa.array([p], pa.int32()),
+                         pa.array([_pack_sorted(chunk.grams[at] // np.uint64(parts))], pa.binary()),
                          pa.array([pack(count[at])], pa.binary())],
-                        ["chunk", "part", "grams", "counts"])
+                        ["chunk", "check", "part", "grams", "counts"])
 
     return run
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order of parts: a part's counts added up and joined to each of its rows."""
-    def done(part: int, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        grams, where = np.unique(np.concatenate([g for _, g, _ in rows]), return_inverse=True)
+    def done(part: int, rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        grams, where = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
         total = np.zeros(len(grams), dtype=np.int64)
-        np.add.at(total, where, np.concatenate([c for _, _, c in rows]))
+        np.add.at(total, where, np.concatenate([r[3] for r in rows]))
         at = 0
-        for chunk, own, _ in rows:
+        for chunk, check, own, _ in rows:
             sums = total[where[at:at + len(own)]]
             at += len(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()),
-                 pa.array([_pack_counts(sums)], pa.binary())], ["chunk", "part", "payload"])
+                [pa.array([chunk], pa.int64()), pa.array([check], pa.int64()), pa.array([part], pa.int32()),
+                 pa.array([_pack_counts(sums)], pa.binary())], ["chunk", "check", "part", "payload"])
 
     current, rows = None, []
     for batch in batches:
         for k in range(batch.num_rows):
-            part = batch.column(1)[k].as_py()
+            part = batch.column(2)[k].as_py()
             if part != current and rows:
                 yield from done(current, rows)
                 rows = []
             current = part
-            rows.append((batch.column(0)[k].as_py(), _unpack_sorted(batch.column(2)[k].as_py()),
-                         unpack(batch.column(3)[k].as_py()).astype(np.int64)))
+            rows.append((batch.column(0)[k].as_py(), batch.column(1)[k].as_py(),
+                         _unpack_sorted(batch.column(3)[k].as_py()),
+                         unpack(batch.column(4)[k].as_py()).astype(np.int64)))
     if rows:
         yield from done(current, rows)
 
@@ -183,12 +204,14 @@ def _score(chunk: _Chunk, totals: np.ndarray, corpus_words: int) -> np.ndarray:
 
 
 def _assemble(order: int, parts: int, corpus_words: int):
-    def done(row: dict, answers: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    def done(row: dict, answers: list[bytes]) -> pa.RecordBatch:
         chunk = _Chunk(row["words"], row["payload"], row["lengths"], order)
         totals = np.zeros(len(chunk.grams), dtype=np.int64)
         by_part = np.argsort(chunk.dealt(parts), kind="stable")
-        if answers:
-            totals[by_part[chunk.empty:]] = np.concatenate([_unpack_counts(a) for a in answers])
+        told = np.concatenate([np.zeros(0, np.int64), *map(_unpack_counts, answers)])
+        if len(told) != len(totals) - chunk.empty:
+            raise ValueError(_OTHER_ROWS)
+        totals[by_part[chunk.empty:]] = told
         return pa.RecordBatch.from_arrays(
             [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.lengths),
              pa.array(_score(chunk, totals, corpus_words))], ["doc_id", "n_words", "units"])
@@ -201,6 +224,8 @@ def _assemble(order: int, parts: int, corpus_words: int):
                     if current:
                         yield done(current, answers)
                     current, answers = row, []
+                elif current is None or row["check"] != current["check"]:
+                    raise ValueError(_OTHER_ROWS)
                 else:
                     answers.append(row["payload"])
         if current:
@@ -219,22 +244,20 @@ def score_documents(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id",
     A document's score is the sum of log10 of its words' scores, each rounded to a unit. NULL and
     empty texts have no words and score 0. Every row is a document: repeated rows count in each
     other's scores. An empty table gives no rows. Other columns of ``docs`` play no part.
-    ``parts``, four times the shuffle partitions unless given, is how many ways the count table is
+    ``docs`` is read three times and must give its rows in the same order, as files do; stage what
+    comes out of a shuffle. ``parts``, four times the shuffle partitions unless given, is how many ways the count table is
     dealt; a task holds one part of it at a time.
     """
     spark = docs.sparkSession
     if parts is None:
         parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = stage(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_cut, _CHUNK), "lm-chunks")
-    corpus_words = chunks.agg(F.sum(F.expr(
-        "aggregate(lengths, 0L, (a, x) -> a + x)"))).first()[0] or 0
-    counted = chunks.mapInArrow(
-        _explode(order, parts), "chunk long, part int, grams binary, counts binary"
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    corpus_words = slim.select("text").mapInArrow(_count_words, "n long").agg(F.sum("n")).first()[0] or 0
+    counted = slim.mapInArrow(
+        _explode(order, parts), "chunk long, check long, part int, grams binary, counts binary"
     ).repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(
-        _count, "chunk long, part int, payload binary")
-    return chunks.unionByName(counted, allowMissingColumns=True) \
+        _count, "chunk long, check long, part int, payload binary")
+    return slim.mapInArrow(_cut, _CHUNK).unionByName(counted, allowMissingColumns=True) \
         .repartition("chunk").sortWithinPartitions("chunk", "part") \
         .mapInArrow(_assemble(order, parts, corpus_words), "doc_id long, n_words long, units long") \
         .withColumn("log10_score", F.col("units") / UNIT)

@@ -91,14 +91,20 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return hashes
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word, and the range of words of each text (as ``bounds`` for bytes)."""
+def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end."""
     inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = ~_SPACE[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[bounds] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | first))
     ends = np.flatnonzero(inside[:-1] & (~inside[1:] | first))
+    return starts, ends
+
+
+def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and the range of words of each text (as ``bounds`` for bytes)."""
+    starts, ends = word_spans(data, bounds)
     return hash_spans(data, starts, ends), np.searchsorted(starts, bounds)
 
 
