@@ -92,8 +92,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Chunk:
-    """The n-grams of a chunk: of each order, the hash that ends at each word, 0 where the text
-    has too few words before."""
+    """The n-grams of a chunk: the distinct hashes, and, of each order, which of them ends at each
+    word; the hash 0 stands for "none", where the text has too few words before."""
 
     def __init__(self, words: bytes, payload: bytes, lengths: list[int], order: int) -> None:
         self.lengths = np.array(lengths, dtype=np.int64)
@@ -102,15 +102,17 @@ class _Chunk:
         sequence = known[unpack(payload)] if len(known) else np.zeros(0, np.uint64)
         n = len(sequence)
         nth = np.arange(n) - np.repeat(self.bounds[:-1], self.lengths)
-        self.ending = []
-        for k in range(1, order + 1):
+        own, self.where = [], np.zeros((order, n), dtype=np.uint32)
+        for k in range(1, order + 1):  # order by order, as sorting all at once holds thrice as much
             ends = np.zeros(n, dtype=np.uint64)
             ends[k - 1:] = texts.window_hashes(sequence, k)
             ends[nth < k - 1] = 0
-            self.ending.append(ends)
-        every = np.concatenate(self.ending)
-        self.grams, where = np.unique(every, return_inverse=True)
-        self.where = where.reshape(order, n)
+            grams, self.where[k - 1] = np.unique(ends, return_inverse=True)
+            own.append(grams)
+        del sequence, nth, ends, grams
+        self.grams = np.unique(np.concatenate(own))
+        for k in range(order):
+            self.where[k] = np.searchsorted(self.grams, own[k]).astype(np.uint32)[self.where[k]]
         self.empty = int(len(self.grams) > 0 and self.grams[0] == 0)
 
     def dealt(self, parts: int) -> np.ndarray:
@@ -187,13 +189,13 @@ def _score(chunk: _Chunk, totals: np.ndarray, corpus_words: int) -> np.ndarray:
     owner = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
     others = []
     for k in range(order):  # counts in all other documents
-        key = owner * len(chunk.grams) + chunk.where[k]
+        key = owner * len(chunk.grams) + chunk.where[k].astype(np.int64)
         _, which, own = np.unique(key, return_inverse=True, return_counts=True)
         others.append(totals[chunk.where[k]] - own[which])
     rest = np.maximum(corpus_words - chunk.lengths, 1)[owner]
     share = np.maximum(others[0], ALPHA) / rest  # a word of no other document: ALPHA occurrences
     for k in range(1, order):
-        has = chunk.ending[k] != 0
+        has = chunk.where[k] >= chunk.empty  # the sign for "none" is the first, if there is one
         context = np.zeros(n)
         context[1:] = others[k - 1][:-1]
         seen = has & (others[k] > 0)
