@@ -2,6 +2,7 @@ import collections
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -79,3 +80,37 @@ def test_a_table_that_reads_differently_is_an_error(spark):
     unsteady = spark.range(20).mapInArrow(random_text, "doc_id long, text string")
     with pytest.raises(Exception, match="another order"):
         score_documents(unsteady).collect()
+
+
+def test_ngrams_are_numbered_without_sorting_their_hashes(monkeypatch):
+    """Hashes of every order were sorted once for the chunk, once for each document's own counts and
+    once more for all orders; that was most of the CPU time."""
+    rows = [[f"w{i * k % 7}" for k in range(i % 30)] for i in range(80)] + [[], ["w1"], ["solo"] * 9]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(rows))), "text": [" ".join(r) for r in rows]})
+    monkeypatch.setattr(backoff.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(np, "unique", lambda *a, **k: pytest.fail("hashes are sorted"))
+    row = next(backoff._cut(iter([batch]))).to_pylist()[0]
+    chunk = backoff._Chunk(row["words"], row["payload"], row["lengths"], 3)
+    for k in range(3):
+        ends = [[tuple(r[i - k:i + 1]) if i >= k else None for i in range(len(r))] for r in rows]
+        flat = [g for r in ends for g in r]
+        every = collections.Counter(flat)
+        assert [(n, o) for g, n, o in zip(flat, chunk.counts[chunk.where[k]].tolist(), chunk.own(k).tolist())
+                if g] == [(every[g], r.count(g)) for r in ends for g in r if g]
+        assert len({(g, w) for g, w in zip(flat, chunk.where[k].tolist()) if g}) == len(set(flat) - {None})
+    assert (np.diff(chunk.grams.astype(object)) > 0).all() and sorted(chunk.numbers) == list(range(len(chunk.grams)))
+
+
+@pytest.mark.parametrize("limit", [50, 1 << 63])
+def test_keys_with_and_without_room_for_the_place(limit):
+    keys = np.random.default_rng(1).integers(0, 50, 3000, dtype=np.uint64)
+    at, first = backoff._grouped(keys, limit)
+    assert at.tolist() == sorted(range(3000), key=lambda i: (keys[i], i)) and first.sum() == 50
+    assert backoff._grouped(keys[:0], 0)[0].tolist() == backoff._ascending(keys[:0]).tolist() == []
+
+
+def test_hashes_alike_in_their_high_bits_are_in_order():
+    r = np.random.default_rng(2)
+    values = (r.integers(0, 400, 3000, dtype=np.uint64) << np.uint64(55)) + r.integers(0, 4000, 3000, dtype=np.uint64)
+    at = backoff._ascending(values)
+    assert values[at].tolist() == sorted(values.tolist()) and sorted(at.tolist()) == list(range(3000))
