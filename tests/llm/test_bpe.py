@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -44,6 +47,19 @@ def test_a_table_that_changes_between_readings_is_an_error():
         list(chunk.documents())
 
 
+def test_a_chunk_is_freed_without_the_garbage_collector():
+    gc.disable()
+    try:
+        words = bpe._Words(public_tokenizers.PATTERN)
+        words.add([1], pa.array(["a b"]))
+        assert words.rows(0, 3, True).num_rows
+        gone = weakref.ref(words)
+        del words
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
 def test_decoding_by_the_token_table(spark, reference):
     ids = reference.encode_ordinary("naïve \u00a0 text\n\n") * 3
     given = spark.createDataFrame(

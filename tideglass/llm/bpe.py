@@ -34,6 +34,7 @@ from tideglass.llm.chunks import by_frequency, gather, pack, pack_words, unpack,
 from tideglass.llm.pieces import PieceTable
 
 CHUNK_BYTES = 5_000_000  # of text in a chunk, whose words and ids a task holds at once
+SLICE_BYTES = 1_000_000  # of text that is cut into words at once
 PART_BYTES = 1_000_000_000  # of text for each part that distinct words are dealt to
 REMEMBERED = 200_000  # words of a part that a task remembers the ids of
 _CHUNK = ("chunk long, check long, part int, payload binary, ranks binary, doc_ids array<long>, "
@@ -46,26 +47,33 @@ def read_ranks(definition: bytes) -> dict[bytes, int]:
             for token, rank in (line.split() for line in definition.splitlines() if line)}
 
 
+def _numbered(pattern: str, number: dict[str, int]):
+    """Gives the pre-tokens of pieces their numbers in ``number``, new ones the next. It knows
+    nothing of the chunk that it works for, so a chunk is freed when the next one begins."""
+    findall = regex.compile(pattern).findall
+
+    def numbers(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found, size = array("I"), []
+        for piece in pieces:
+            words = findall(piece)
+            found.extend([number.setdefault(w, len(number)) for w in words])
+            size.append(len(words))
+        return np.frombuffer(found, np.uint32), np.array(size, np.int64)
+
+    return numbers
+
+
 class _Words:
     """Distinct pre-tokens of a chunk, numbered as they come, and texts as those numbers."""
 
     def __init__(self, pattern: str) -> None:
-        self.findall = regex.compile(pattern).findall
         self.number: dict[str, int] = {}
-        self.pieces = PieceTable(np.dtype(np.uint32), self._numbers)
+        self.pieces = PieceTable(np.dtype(np.uint32), _numbered(pattern, self.number))
         self.doc_ids: list[int | None] = []
         self.sequences: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
         self.bytes = 0
 
-    def _numbers(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        number, found, size = self.number, [], []
-        for piece in pieces:
-            words = self.findall(piece)
-            found += [number.setdefault(w, len(number)) for w in words]
-            size.append(len(words))
-        return np.array(found, np.uint32), np.array(size, np.int64)
-
     def add(self, doc_ids: list[int | None], column: pa.Array) -> None:
         sequence, bounds = self.pieces.look_up(column)
         self.sequences.append(sequence)
@@ -109,7 +117,7 @@ class _Words:
 def _cut(pattern: str, parts: int, of_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, chunk = _Words(pattern), TaskContext.get().partitionId() << 32
-        for part in texts.slices(batches, 1):
+        for part in texts.slices(batches, 1, SLICE_BYTES):
             words.add(part.column(0).to_pylist(), part.column(1))
             if words.bytes >= CHUNK_BYTES:
                 yield words.rows(chunk, parts, of_words)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2_000_000
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18  # hashed at once; the hashes are the same for any size
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
