@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import AWKWARD, docs
-from tideglass.llm import texts
+from tideglass.llm import phrases, texts
+from tideglass.llm.chunks import pack
 from tideglass.llm.phrases import collocations, count_phrases, tokens
 
 UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -101,3 +102,28 @@ def test_awkward_and_repeated_rows(spark):
 def test_nothing_frequent(spark):
     for rows in ([], [(1, None), (2, ""), (3, "one two")], [(1, "a . b ! c\nd; " * 50)]):
         assert collocations(docs(spark, rows)).collect() == []
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 20, 1 << 59])
+def test_pairs_are_put_in_order(spread):
+    rng = np.random.default_rng(3)
+    left, right = (rng.integers(0, 9, 500) * spread + (9 << 53) * (spread < 1 << 50) for _ in range(2))
+    order = phrases._order(left, right)
+    want = np.lexsort((right, left))
+    assert (left[order] == left[want]).all() and (right[order] == right[want]).all()
+    assert len(phrases._order(left[:0], right[:0])) == 0 and len(phrases._order(left[:1], right[:1])) == 1
+
+
+def test_a_chunk_is_read_without_sorting_its_places(monkeypatch):
+    """What is told of a chunk is sorted; its places, which are many more, are looked up."""
+    sequence, sorted_sizes = phrases._Sequence(pack(np.array([0, 1, 2, 3, 1, 2, 0, 2, 1] * 50))), []
+    for name in ("unique", "argsort", "sort"):
+        monkeypatch.setattr(np, name, lambda x, *a, f=getattr(np, name), **k: (
+            sorted_sizes.append(len(x)), f(x, *a, **k))[1])
+    sequence.begin(np.array([2, 1]), np.array([70, 90]), np.array([0, 1]))
+    at, code = sequence.pairs()
+    assert [(sequence.ids[c // 2], sequence.ids[c % 2]) for c in code[:3]] == [(90, 70)] * 2 + [(70, 90)]
+    sequence.lengthen(*map(np.array, ([70, 90, 5], [90, 70, 70], [8, 7, 6], [3, 2, 1])))
+    assert sequence.ids.tolist() == [7, 8] and sequence.steps.tolist() == [2, 3]
+    assert sequence.local[:9].tolist() == [-1, 0, -1, -1, 0, -1, -1, 1, -1]
+    assert max(sorted_sizes) <= 3
